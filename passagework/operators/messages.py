@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passagework.functions.arrays import let
 from passagework.functions.text import strip
 
 # Fields that must be present and not blank, in checking order.
@@ -28,43 +29,59 @@ class Checked:
     rejected: DataFrame
 
 
-def _field(name: str) -> Column:
-    return F.try_variant_get(F.col("_doc"), f"$.{name}", "variant")
+_TEXT_FIELDS = (*REQUIRED, "doc_type")
 
 
-def _kind(name: str) -> Column:
-    """Type of a field: NULL when absent, VOID when it is JSON null."""
-    return F.schema_of_variant(_field(name))
-
-
-def _text(name: str) -> Column:
-    return F.try_variant_get(F.col("_doc"), f"$.{name}", "string")
+def _read(body: Column) -> Column:
+    """The body parsed once: is it JSON, an object, and what its fields hold.
 
+    ``kinds`` is NULL for an absent field and VOID for JSON null, which a plain
+    cast to text would not tell apart, nor 5 from "5".
+    """
 
-def _missing(name: str) -> Column:
-    kind = _kind(name)
-    blank = (kind == "STRING") & (strip(_text(name)) == "")
-    return kind.isNull() | (kind == "VOID") | blank
+    def fields(document: Column, members: Column) -> Column:
+        values = [F.try_element_at(members, F.lit(name)) for name in _TEXT_FIELDS]
+        metadata = F.try_element_at(members, F.lit("metadata"))
+        return F.struct(
+            document.isNotNull().alias("is_json"),
+            members.isNotNull().alias("is_object"),
+            F.array(*(F.schema_of_variant(v) for v in values)).alias("kinds"),
+            F.array(*(F.try_variant_get(v, "$", "string") for v in values)).alias("texts"),
+            F.schema_of_variant(metadata).alias("metadata_kind"),
+            F.try_variant_get(metadata, "$", "map<string,variant>").alias("metadata"),
+        )
+
+    return let(
+        F.try_parse_json(body),
+        lambda document: let(
+            F.try_variant_get(document, "$", "map<string,variant>"),
+            lambda members: fields(document, members),
+        ),
+    )
 
 
-def _mistyped_metadata() -> Column:
-    kind = _kind("metadata")
-    entries = F.try_variant_get(F.col("_doc"), "$.metadata", "map<string,variant>")
-    foreign = F.exists(F.map_values(entries), lambda v: F.schema_of_variant(v) != "STRING")
-    return kind.isNotNull() & (~kind.startswith("OBJECT") | F.coalesce(foreign, F.lit(False)))
+def _reason() -> Column:
+    def kind(i: int) -> Column:
+        return F.get("_read.kinds", F.lit(i))
 
+    def missing(i: int) -> Column:
+        blank = (kind(i) == "STRING") & (strip(F.get("_read.texts", F.lit(i))) == "")
+        return kind(i).isNull() | (kind(i) == "VOID") | blank
 
-def _reason() -> Column:
+    metadata_kind = F.col("_read.metadata_kind")
+    foreign = F.exists(
+        F.map_values("_read.metadata"), lambda v: F.schema_of_variant(v) != "STRING"
+    )
     mistyped = F.concat_ws(
         ", ",
-        *(F.when(_kind(name) != "STRING", F.lit(name)) for name in (*REQUIRED, "doc_type")),
-        F.when(_mistyped_metadata(), F.lit("metadata")),
+        *(F.when(kind(i) != "STRING", F.lit(name)) for i, name in enumerate(_TEXT_FIELDS)),
+        F.when(~metadata_kind.startswith("OBJECT") | foreign, F.lit("metadata")),
     )
-    reason = F.when(F.col("_doc").isNull(), F.lit(NOT_JSON)).when(
-        ~F.schema_of_variant(F.col("_doc")).startswith("OBJECT"), F.lit(NOT_OBJECT)
+    reason = F.when(~F.col("_read.is_json"), F.lit(NOT_JSON)).when(
+        ~F.col("_read.is_object"), F.lit(NOT_OBJECT)
     )
-    for name in REQUIRED:
-        reason = reason.when(_missing(name), F.lit(MISSING.format(name)))
+    for i, name in enumerate(REQUIRED):
+        reason = reason.when(missing(i), F.lit(MISSING.format(name)))
     return reason.when(mistyped != "", F.concat(F.lit(WRONG_TYPE), mistyped))
 
 
@@ -75,20 +92,22 @@ def check_messages(messages: DataFrame, body: str = "body") -> DataFrame:
     narrow pass, JVM only.
     """
     others = [c for c in messages.columns if c != body]
-    parsed = messages.withColumn("_doc", F.try_parse_json(F.col(body)))
-    judged = parsed.select(*others, body, "_doc", _reason().alias("reason"))
+    judged = messages.withColumn("_read", _read(F.col(body))).withColumn("reason", _reason())
     good = F.col("reason").isNull()
     # a body that names no doc_type or metadata gets the defaults
-    doc_type = F.coalesce(_text("doc_type"), F.lit(DEFAULT_DOC_TYPE))
+    doc_type = F.coalesce(F.get("_read.texts", F.lit(len(REQUIRED))), F.lit(DEFAULT_DOC_TYPE))
     metadata = F.coalesce(
-        F.try_variant_get(F.col("_doc"), "$.metadata", "map<string,string>"),
+        F.transform_values("_read.metadata", lambda _, v: F.try_variant_get(v, "$", "string")),
         F.create_map().cast("map<string,string>"),
     )
     return judged.select(
         *others,
         body,
         "reason",
-        *(F.when(good, _text(name)).alias(name) for name in REQUIRED),
+        *(
+            F.when(good, F.get("_read.texts", F.lit(i))).alias(name)
+            for i, name in enumerate(REQUIRED)
+        ),
         F.when(good, doc_type).alias("doc_type"),
         F.when(good, metadata).alias("metadata"),
     )

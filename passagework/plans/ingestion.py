@@ -20,14 +20,15 @@ class IngestSettings:
     tokenizer: object | None = None
 
 
-def balanced(df: DataFrame) -> DataFrame:
+def balanced(df: DataFrame, key: str) -> DataFrame:
     """Spread a few large input files over the cluster before per-row work.
 
-    An input with at least as many partitions as the cluster has cores is left
-    as it is, so a large scan is never shuffled.
+    ``key`` is unique, so no task gets more than its share. An input with at
+    least as many partitions as the cluster has cores is left as it is, so a
+    large scan is never shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def documents_to_chunks(documents: DataFrame, settings: IngestSettings) -> DataFrame:

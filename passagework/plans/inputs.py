@@ -74,7 +74,7 @@ class Tables:
 
     def filings(self) -> DataFrame:
         """Documents as plain-text filings; tenant is the source, type the language."""
-        return balanced(self.documents).select(
+        return balanced(self.documents, "doc_id").select(
             F.col("doc_id").cast("string").alias("document_id"),
             F.col("source").alias("tenant"),
             F.col("lang").alias("doc_type"),
@@ -83,7 +83,7 @@ class Tables:
         )
 
     def web_filings(self) -> DataFrame:
-        return balanced(self.pages).select(
+        return balanced(self.pages, "page_id").select(
             F.col("page_id").cast("string").alias("document_id"),
             F.col("html").alias("content"),
         )
@@ -125,4 +125,4 @@ class Tables:
         )
 
     def bodies(self) -> DataFrame:
-        return self.events.select("event_id", F.expr(EVENT_BODY).alias("body"))
+        return balanced(self.events, "event_id").select("event_id", F.expr(EVENT_BODY).alias("body"))

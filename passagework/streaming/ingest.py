@@ -61,8 +61,11 @@ def ingest_batch(
             "body", F.lit(NOT_FOUND).alias("reason")
         )
         refused.unionByName(absent).write.mode("overwrite").parquet(rejects)
-        documents = balanced(loaded.where(F.col("content").isNotNull())).select(
-            "document_id", "tenant", "doc_type", "metadata", "seq", "content"
+        documents = balanced(
+            loaded.where(F.col("content").isNotNull()).select(
+                "document_id", "tenant", "doc_type", "metadata", "seq", "content"
+            ),
+            "seq",
         )
         return table.upsert(documents_to_embedded_chunks(documents, settings, load))
 
