@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _GROUP = 1024
@@ -19,6 +19,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, whatever is filtered later.
+
+    A filter on a projected column is pushed below the projection with a copy of
+    its expression for every mention; it is not pushed below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _running(values: Column) -> Column:
     """struct(total, out): the sum, and for each element the sum of those before it."""
     return F.aggregate(

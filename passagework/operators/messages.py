@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passagework.functions.arrays import let
+from passagework.functions.arrays import let, with_once
 from passagework.functions.text import strip
 
 # Fields that must be present and not blank, in checking order.
@@ -92,7 +92,7 @@ def check_messages(messages: DataFrame, body: str = "body") -> DataFrame:
     narrow pass, JVM only.
     """
     others = [c for c in messages.columns if c != body]
-    judged = messages.withColumn("_read", _read(F.col(body))).withColumn("reason", _reason())
+    judged = with_once(messages, "_read", _read(F.col(body))).withColumn("reason", _reason())
     good = F.col("reason").isNull()
     # a body that names no doc_type or metadata gets the defaults
     doc_type = F.coalesce(F.get("_read.texts", F.lit(len(REQUIRED))), F.lit(DEFAULT_DOC_TYPE))

@@ -32,8 +32,25 @@ def message_files(spark: SparkSession, path: str, max_files_per_trigger: int) ->
         .load(path)
         .select(
             F.col("value").alias("body"),
-            F.col("_metadata.file_modification_time").alias("_time"),
-            F.col("_metadata.file_path").alias("_file"),
+            F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("_order"),
+        )
+    )
+
+
+def message_topic(
+    spark: SparkSession, servers: str, topic: str, max_offsets_per_trigger: int
+) -> DataFrame:
+    """One body per record of a Kafka topic (needs Spark's Kafka package on the classpath)."""
+    return (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        .load()
+        .select(
+            F.col("value").cast("string").alias("body"),
+            F.struct("timestamp", "partition", "offset").alias("_order"),
         )
     )
 
@@ -84,12 +101,14 @@ def start_ingest(
 ) -> StreamingQuery:
     """Run ``ingest_batch`` per micro-batch, over all that has arrived or for ever.
 
+    ``bodies`` comes from ``message_files`` or ``message_topic``.
+
     No state store is needed: the upsert is keyed, so a batch that is replayed
     after a failure leads to the same rows.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        order = F.struct("_time", "_file", F.monotonically_increasing_id().alias("_row"))
+        order = F.struct("_order", F.monotonically_increasing_id().alias("_row"))
         ordered = batch.select("body", order.alias("seq"))
         ingest_batch(
             ordered, attach, table, settings, load, f"{rejects}/batch_id={batch_id}"
