@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -33,13 +32,12 @@ def build_session(master: str | None = None, cores: int | None = None) -> SparkS
 
 
 def configure(spark: SparkSession) -> None:
-    """Set the runtime options that change results, and ship the package.
+    """Set the runtime options that change results.
 
     JSON objects may repeat a key and the last one counts, as in most JSON
     readers; VARIANT refuses such objects unless told otherwise.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    ship_package(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -86,24 +84,3 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(
             target, True
         )
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per context.
-
-    Executors then need no installation of it.
-    """
-    context = spark.sparkContext
-    if getattr(context, "_passagework_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    folder = tempfile.mkdtemp(prefix="passagework-zip-")
-    archive = os.path.join(folder, "passagework.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for here, _, files in os.walk(os.path.join(root, "passagework")):
-            for name in files:
-                if name.endswith(".py"):
-                    path = os.path.join(here, name)
-                    out.write(path, os.path.relpath(path, root))
-    context.addPyFile(archive)
-    context._passagework_shipped = True
