@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import packing, simhash
+from passagework.llm import decontaminate, packing, rules, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,12 +18,51 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, folder, "documents"))
 
 
+def op4_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.quality_rules(_table(spark, folder, "documents")).drop("lang", "source", "text_key", "pool")
+
+
+def op5_positional_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = (_table(spark, folder, x) for x in ("documents", "benchmark"))
+    return decontaminate.decontaminate(documents, benchmark).drop("text_key")
+
+
 def op8_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, folder, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op8_simhash_pivots)
+    f.__name__: f for f in (
+        op1_best_fit_packing,
+        op4_robust_quality_rules,
+        op5_positional_decontamination,
+        op8_simhash_pivots,
+    )
+}
+_WORDS = r"""list_filter(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+ORACLES: dict[str, str] = {
+    "op5_positional_decontamination": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS t
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(2, len(w) - 8))) AS i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(t) AS n FROM win),
+places AS (
+  SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS t
+  FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)),
+hits AS (SELECT doc_id, i, n, item_id FROM places JOIN win USING (t)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
 }
-ORACLES: dict[str, str] = {}
