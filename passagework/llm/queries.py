@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import decontaminate, packing, rules, simhash
+from passagework.llm import decontaminate, licences, packing, pii, rules, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,12 +32,23 @@ def op8_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op9_licence_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licence_scan(_table(spark, folder, "documents")).drop("spans")
+
+
+def op10_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_spans(_table(spark, folder, "documents"))
+    return found.withColumn("spans", pii.described(F.col("found"))).drop("found", "text_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
         op4_robust_quality_rules,
         op5_positional_decontamination,
         op8_simhash_pivots,
+        op9_licence_automaton,
+        op10_weak_supervision_pii,
     )
 }
 _WORDS = r"""list_filter(regexp_split_to_array(
