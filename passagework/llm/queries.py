@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import decontaminate, licences, packing, pii, rules, simhash
+from passagework.llm import decontaminate, licences, packing, pii, ppm, rules, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, folder, "documents"))
 
 
+def op2_partial_matching_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    return ppm.ppm_scores(_table(spark, folder, "documents"), held_out)
+
+
 def op4_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(_table(spark, folder, "documents")).drop("lang", "source", "text_key", "pool")
 
@@ -44,6 +49,7 @@ def op10_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
+        op2_partial_matching_scores,
         op4_robust_quality_rules,
         op5_positional_decontamination,
         op8_simhash_pivots,
