@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import decontaminate, licences, packing, pii, ppm, rules, simhash
+from passagework.llm import decontaminate, licences, packing, pii, ppm, rules, simhash, suffixes
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_partial_matching_scores(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.ppm_scores(_table(spark, folder, "documents"), held_out)
 
 
+def op3_induced_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, folder, "documents"))
+
+
 def op4_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(_table(spark, folder, "documents")).drop("lang", "source", "text_key", "pool")
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
         op2_partial_matching_scores,
+        op3_induced_suffix_dedup,
         op4_robust_quality_rules,
         op5_positional_decontamination,
         op8_simhash_pivots,
