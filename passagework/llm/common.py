@@ -54,3 +54,10 @@ def small_batches(frames: Iterator[pd.DataFrame], column: str, chars: int) -> It
         cut = (sizes.cumsum() - sizes) // chars
         for _, part in frame.groupby(cut, sort=True):
             yield part
+
+
+def shared_fs(path: str):
+    """(file system, path in it) of a path in the shared folder, for tasks that write files of their own."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path)

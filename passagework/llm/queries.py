@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import decontaminate, licences, packing, pii, ppm, rules, simhash, suffixes
+from passagework.llm import (
+    decontaminate,
+    licences,
+    packing,
+    pii,
+    ppm,
+    rules,
+    shards,
+    simhash,
+    suffixes,
+    warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +47,14 @@ def op5_positional_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontaminate.decontaminate(documents, benchmark).drop("text_key")
 
 
+def op6_training_order_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.training_order(_table(spark, folder, "documents"))
+
+
+def op7_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(_table(spark, folder, "pages"))
+
+
 def op8_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, folder, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
@@ -57,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_induced_suffix_dedup,
         op4_robust_quality_rules,
         op5_positional_decontamination,
+        op6_training_order_shards,
+        op7_warc_normaliser,
         op8_simhash_pivots,
         op9_licence_automaton,
         op10_weak_supervision_pii,
