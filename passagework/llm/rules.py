@@ -35,12 +35,12 @@ CUTOFF = 120.0
 _BIN = 16  # bins of squared distances per factor of e
 
 #: Transformed statistics, each with the least deviation it is judged by.
-VECTOR: dict[str, tuple[Column, float]] = {
-    "size": (F.log("n_words"), 0.3),
-    "word": (F.log(F.col("word_chars") / F.col("n_words")), 0.05),
-    "symbols": (F.log1p(100 * F.col("n_symbols") / F.col("word_chars")), 0.2),
-    "lines": (F.log1p(20 * F.col("n_dup_lines") / F.sqrt("n_words")), 0.3),
-    "repeats": (F.log1p(20 * F.col("n_repeat_words") / F.col("n_words")), 0.3),
+VECTOR: dict[str, tuple[str, float]] = {
+    "size": ("ln(n_words)", 0.3),
+    "word": ("ln(word_chars / n_words)", 0.05),
+    "symbols": ("log1p(100 * n_symbols / word_chars)", 0.2),
+    "lines": ("log1p(20 * n_dup_lines / sqrt(n_words))", 0.3),
+    "repeats": ("log1p(20 * n_repeat_words / n_words)", 0.3),
 }
 _P = list(VECTOR)
 _PAIRS = [(i, j) for i in range(len(_P)) for j in range(i + 1)]
@@ -170,7 +170,7 @@ def _pools(stats: DataFrame) -> DataFrame:
     """Vectors of the documents to judge, each with the pool that judges it and a salt."""
     salt = F.pmod(F.xxhash64("doc_id", "text_key", "n_words"), F.lit(SALTS)).cast("int")
     vectors = stats.where(~F.col("base_failed")).select(
-        "doc_id", "text_key", "lang", "source", salt.alias("salt"), *(c.alias(n) for n, (c, _) in VECTOR.items())
+        "doc_id", "text_key", "lang", "source", salt.alias("salt"), *(F.expr(c).alias(n) for n, (c, _) in VECTOR.items())
     )
     sizes = written(_summed(vectors, ["lang", "source"], {"n": F.lit(1)}), "pools")
     by_lang = sizes.groupBy("lang").agg(F.sum("n").alias("of_lang"))

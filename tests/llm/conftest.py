@@ -1,0 +1,50 @@
+import random
+
+import pytest
+
+CLASHING = "words length key packet bucket fingerprint pool term pos k d a b n rank salt bin block start".split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+    f"{c} string" for c in CLASHING
+)
+
+
+def vocabulary(n=400, seed=3):
+    draw = random.Random(seed)
+    return ["".join(draw.choice("abcdefghijklmnopqrstuvwxyzäé") for _ in range(draw.randint(2, 8))) for _ in range(n)]
+
+
+def prose(words, n, draw):
+    return " ".join(draw.choice(words) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """Nulls, empty, blank and long texts, ties, repeated rows, a null id."""
+    draw, words = random.Random(5), vocabulary()
+    rows = [(i, prose(words, draw.randint(60, 160), draw)) for i in range(40)]
+    long = prose(words, 30_000, draw)
+    rows += [(100, None), (101, ""), (102, " \n\t "), (103, long), (104, long), (105, "a" * 3000), (106, "Ünï 😀 x")]
+    rows += [rows[0], rows[0], (None, rows[1][1]), (None, None), (107, rows[2][1]), (108, rows[2][1] + " and more")]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def table(spark):
+    def make(rows):
+        full = [
+            (i, t, None if i is None else ["en", "de"][i % 2], None if i == 3 else "s", None, *["x"] * len(CLASHING))
+            for i, t in rows
+        ]
+        return spark.createDataFrame(full, SCHEMA)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def odd(table, odd_rows):
+    return table(odd_rows).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(table):
+    return table([])

@@ -1,0 +1,89 @@
+import random
+from collections import defaultdict
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from passagework.llm import packing
+
+
+def best_fit(lengths, capacity):
+    free = []
+    for x in sorted(lengths, reverse=True):
+        fits = [i for i, r in enumerate(free) if r >= x]
+        if fits:
+            free[min(fits, key=free.__getitem__)] -= x
+        else:
+            free.append(capacity - x)
+    return len(free)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_plan_is_best_fit(seed):
+    draw = random.Random(seed)
+    capacity = draw.choice([7, 16, 100])
+    lengths = [draw.randint(1, capacity) for _ in range(draw.randint(1, 300))]
+    counts = {x: lengths.count(x) for x in set(lengths)}
+    used, numbers = defaultdict(list), set()
+    for length, first, items, sequence, per, offset in packing.plan_packing(counts, capacity):
+        for i in range(items):
+            assert (length, first + i) not in numbers
+            numbers.add((length, first + i))
+            used[sequence + i // per].append((offset + i % per * length, length))
+    assert len(numbers) == len(lengths)
+    for places in used.values():
+        at = 0
+        for start, length in sorted(places):
+            assert start == at
+            at += length
+        assert at <= capacity
+    assert len(used) == best_fit(lengths, capacity)
+
+
+def test_whole_documents(odd, odd_rows):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = packing.best_fit_packing(odd, 64).collect()
+    expected = []
+    for doc_id, text in odd_rows:
+        ids = np.array([*reference.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        first = len(ids) % 64 or 64
+        edges = [0, *range(first, len(ids) + 1, 64)]
+        expected += [(doc_id, k, a, b - a, crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(edges, edges[1:]))]
+    assert sorted(map(repr, (tuple(r)[:5] for r in rows))) == sorted(map(repr, expected))
+    places = defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for held in places.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(places) == best_fit([r["length"] for r in rows], 64)
+
+
+def test_special_strings_are_special_as_in_the_other_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    draw, encode = random.Random(1), packing.load_encoder().encode_to_numpy
+    pieces = ["<|endoftext|>", " ", "\n\n", "it's", "ß", "日本", " ", "1234", "😀", "é", "...", "\t", " x"]
+    for _ in range(300):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 12)))
+        assert encode(text, allowed_special="all").tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_lengths_that_fit_nowhere(spark):
+    pieces = spark.createDataFrame([(1, None), (2, 0), (3, 9), (4, 4), (5, 4)], "i int, length long")
+    rows = {r["i"]: (r["sequence_id"], r["offset"]) for r in packing.pack(pieces, 8).collect()}
+    assert [rows[i] for i in (1, 2, 3)] == [(None, None)] * 3
+    assert sorted([rows[4], rows[5]]) == [(0, 0), (0, 4)]
+
+
+def test_empty(empty):
+    assert packing.best_fit_packing(empty).collect() == []

@@ -1,0 +1,86 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from passagework.llm import ppm
+
+
+class Model:
+    """Contexts, counts and exclusions symbol by symbol."""
+
+    def __init__(self, texts, order):
+        self.order, self.seen = order, defaultdict(Counter)
+        for text in texts:
+            line = [257] * order + list(text) + [256]
+            for p in range(order, len(line)):
+                for k in range(order + 1):
+                    self.seen[tuple(line[p - k : p])][line[p]] += 1
+
+    def log(self, context, symbol):
+        out, excluded = 0.0, set()
+        for k in range(self.order, -1, -1):
+            held = self.seen.get(tuple(context[len(context) - k :]))
+            if not held:
+                continue
+            left = {s: n for s, n in held.items() if s not in excluded}
+            total = sum(left.values()) + len(left)
+            if symbol in left:
+                return out + math.log10(left[symbol] / total)
+            if left:
+                out += math.log10(len(left) / total)
+            excluded |= set(held)
+        return out - math.log10(257 - len(excluded))
+
+    def text(self, text):
+        line = [257] * self.order + list(text) + [256]
+        return sum(self.log(line[p - self.order : p], line[p]) for p in range(self.order, len(line)))
+
+
+def _held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0
+
+
+@pytest.mark.parametrize("order", [0, 2, 4])
+def test_scores(odd, odd_rows, order):
+    rows = ppm.ppm_scores(odd, F.crc32(F.col("doc_id").cast("string")) % 3 == 0, order).collect()
+    train = [(t or "").encode() for i, t in odd_rows if not _held(i)]
+    words = Counter(w for t in train for w in [*t.lower().split(), b""])
+    n, v = sum(words.values()), len(words)
+    model, want, once = Model(train, order), [], {}
+    for i, t in odd_rows:
+        text = (t or "").encode()
+        tokens = [*text.lower().split(), b""]
+        base = sum(math.log10((words[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens)
+        if text not in once:
+            once[text] = model.text(text)
+        want.append((i, _held(i), len(tokens), sum(w in words for w in tokens), n, base, once[text]))
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    want.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    for got, expected in zip(rows, want, strict=True):
+        assert tuple(got)[:5] == expected[:5]
+        assert tuple(got)[5:] == pytest.approx(expected[5:], rel=1e-9)
+
+
+def test_probabilities_sum_to_one():
+    model = Model([b"abracadabra", b"abc"], 2)
+    assert sum(10 ** model.log(list(b"ab"), s) for s in range(257)) == pytest.approx(1)
+
+
+def test_without_training_texts(table):
+    rows = ppm.ppm_scores(table([(1, "ab"), (2, None)]), F.lit(True)).collect()
+    assert [(r["n_known"], r["train_tokens"]) for r in rows] == [(0, 0), (0, 0)]
+    assert sorted(r["score"] for r in rows) == pytest.approx([-3 * math.log10(257), -math.log10(257)])
+
+
+def test_empty(empty):
+    assert ppm.ppm_scores(empty, F.lit(False)).collect() == []
+
+
+def test_held_out_text_is_better_told_by_context_than_noise(table):
+    text = "the cat sat on the mat and the dog sat on the log "
+    rows = ppm.ppm_scores(table([(1, text * 5), (2, text[::-1]), (3, text)]), F.col("doc_id") > 1).collect()
+    score = {r["doc_id"]: r["score"] for r in rows}
+    assert score[3] > score[2] + 20
