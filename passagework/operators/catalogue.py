@@ -82,6 +82,20 @@ def latest_filing_rows(filings: DataFrame, form: str = FILING_FORM) -> DataFrame
     )
 
 
+def unfiled(companies: DataFrame, latest: DataFrame, company: str, form: str = FILING_FORM) -> DataFrame:
+    """Known companies without a filing of the form, with the reason.
+
+    ``companies`` comes from ``resolve_companies``, ``latest`` from ``latest_filing_rows``;
+    ``company`` names the id that joins them.
+    """
+    filed = latest.select(F.col("company").alias("_filed"))
+    return (
+        companies.where(F.col("cik").isNotNull())
+        .join(filed, F.col(company) == F.col("_filed"), "left_anti")
+        .withColumn("reason", F.concat(F.lit(f"no {form} filing: "), F.col("ticker")))
+    )
+
+
 def _number(cik: str) -> Column:
     return F.col(cik).cast("bigint").cast("string")
 

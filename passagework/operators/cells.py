@@ -27,18 +27,11 @@ def fit_centroids(
     *,
     seed: int = 7,
     max_iter: int = 10,
-    train_fraction: float = 1.0,
 ) -> list[list[float]]:
-    """Cell centres by distributed k-means over unit vectors.
-
-    ``train_fraction`` thins only the rows the centres are learned from; every
-    row is assigned to a cell afterwards.
-    """
+    """``n_cells`` cell centres by distributed k-means over all unit vectors."""
     unit = chunks.select(l2_normalise(F.col("embedding")).alias("unit")).where(
         F.col("unit").isNotNull()
     )
-    if train_fraction < 1.0:
-        unit = unit.sample(fraction=train_fraction, seed=seed)
     training = unit.select(array_to_vector("unit").alias("features")).persist()
     try:
         model = KMeans(k=n_cells, seed=seed, maxIter=max_iter).fit(training)
@@ -47,6 +40,42 @@ def fit_centroids(
     return [list(map(float, centre)) for centre in model.clusterCenters()]
 
 
+def label_centroids(chunks: DataFrame, label: str) -> list[list[float]]:
+    """The mean unit vector of each label, in the order of labels, as cell centres.
+
+    For vectors that come with a coarse grouping. Sums are combined per position before
+    the shuffle; rows without a vector or label have no part.
+    """
+    unit = chunks.select(F.col(label).alias("label"), l2_normalise(F.col("embedding")).alias("unit"))
+    places = unit.where("unit IS NOT NULL AND label IS NOT NULL").select(
+        "label", F.posexplode("unit").alias("at", "x")
+    )
+    means = places.groupBy("label", "at").agg(F.avg("x").alias("x"))
+    rows = (
+        means.groupBy("label")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "x")))["x"].alias("centre"))
+        .orderBy("label")
+        .collect()  # one row per label: they become the cells that a task holds
+    )
+    return [list(r["centre"]) for r in rows]
+
+
+def _least(distance: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the ``n`` least of each row, least first, ties to the left."""
+    if n < distance.shape[1]:
+        edge = np.partition(distance, n - 1, axis=1)[:, n - 1 : n]
+        # all below the edge, and of those at it the leftmost that fit
+        below = distance < edge
+        room = n - below.sum(axis=1, keepdims=True)
+        level = distance == edge
+        chosen = below | level & (np.cumsum(level, axis=1) <= room)
+        at = np.nonzero(chosen)[1].reshape(len(distance), n)
+    else:
+        at = np.broadcast_to(np.arange(distance.shape[1]), distance.shape)
+    order = np.argsort(np.take_along_axis(distance, at, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(at, order, axis=1)
+
+
 def nearest_cells(vector: Column, centroids: list[list[float]], n: int) -> Column:
     """The ``n`` nearest cells of each vector, nearest first; NULL without a vector."""
     centres = np.asarray(centroids, dtype=np.float64)
@@ -64,9 +93,9 @@ def nearest_cells(vector: Column, centroids: list[list[float]], n: int) -> Colum
                 length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
                 rows = np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
                 distance = np.round(squares[None, :] - 2.0 * (rows @ centres.T), 12)
-                order = np.argsort(distance, axis=1, kind="stable")[:, :n]
+                order = _least(distance, n).astype(np.int32)
                 for i, found in zip(present, order, strict=True):
-                    out[i] = found.astype(np.int32)
+                    out[i] = found
             yield pd.Series(out, dtype=object)
 
     return cells(vector)

@@ -112,10 +112,39 @@ SELECT q_id, rank, chunk_id, round(score, 6) AS score, document_id, doc_type,
        CAST(page_number AS BIGINT) AS page_number, md5(text) AS text_md5 FROM hits"""
 
 
+# Questions of a tenant without chunks stand beside the others.
+_WITH_STRANGERS = """,
+q AS (SELECT q_id FROM asked UNION ALL SELECT -q_id - 1 FROM asked WHERE q_id % 3 = 0)"""
+
+
 def _hits(doc_type: str = "NULL") -> str:
     return "WITH " + _VECTORS.format(doc_type=doc_type, top_k=QUESTION_TOP_K) + _HITS
 
 
+# Cells are the mean unit vectors of the labels; a question visits the three nearest.
+_CELL_HITS = (
+    "WITH "
+    + _VECTORS.format(doc_type="NULL", top_k=QUESTION_TOP_K)
+    + """,
+unit AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]),
+           lambda x: x / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS u
+         FROM embeddings),
+places AS (SELECT label, unnest(range(1, len(u) + 1)) AS place, unnest(u) AS x FROM unit),
+centre AS (SELECT label, list(x ORDER BY place) AS c FROM (SELECT label, place, avg(x) AS x FROM places GROUP BY label, place) GROUP BY label),
+near AS (SELECT vec_id, label AS cell, row_number() OVER (PARTITION BY vec_id
+           ORDER BY round(list_dot_product(c, c) - 2 * list_dot_product(c, u), 12), label) AS nth
+         FROM (SELECT vec_id, u FROM unit), (SELECT label, c FROM centre)),
+scored AS (
+  SELECT q_id, k, chunk_id, document_id, c.doc_type, page_number, text, c.tenant,
+         round((1 + list_cosine_similarity(a.v, c.v)) / 2, 9) AS score
+  FROM asked a JOIN near n ON n.vec_id = a.q_id AND n.nth <= 3
+  JOIN near m ON m.cell = n.cell AND m.nth = 1
+  JOIN chunks c ON c.tenant = a.tenant AND c.document_id = CAST(m.vec_id AS VARCHAR)),
+hits AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, chunk_id) AS rank
+                 FROM scored) WHERE rank <= k)"""
+)
+
 # --- messages -------------------------------------------------------------
 
 
@@ -240,15 +269,26 @@ ORACLES: dict[str, str] = {
 SELECT h.q_id, a.tenant AS asked_tenant, count(*) AS n_hits,
        count(*) FILTER (WHERE h.tenant <> a.tenant) AS n_foreign
 FROM hits h JOIN asked a ON h.q_id = a.q_id GROUP BY ALL""",
+    "tenant_shared_keys": _hits().replace(
+        "vec_id || ':1:0' AS chunk_id", "'k' || CAST(floor(vec_id / 20) AS BIGINT) AS chunk_id"
+    )
+    + _RANKED,
+    "question_rejects": """SELECT doc_id AS q_id, CASE doc_id % 4 WHEN 0 THEN 'no tenant'
+  WHEN 1 THEN 'no vector' ELSE 'negative top_k' END AS reason
+FROM labels JOIN documents USING (doc_id) JOIN embeddings ON vec_id = doc_id WHERE doc_id % 4 < 3""",
+    "ann_ivf": _CELL_HITS + _RANKED,
     "citations": _hits()
     + " SELECT q_id, rank, document_id, CAST(page_number AS BIGINT) AS page_number, "
     "round(score, 6) AS score FROM hits",
     "results_per_question": _hits()
-    + " SELECT q_id, count(*) AS n_chunks, string_agg(document_id, ',' ORDER BY rank) AS cited, "
-    "round(max(score), 6) AS best_score FROM hits GROUP BY q_id",
+    + _WITH_STRANGERS
+    + """ SELECT q.q_id, count(rank) AS n_chunks, coalesce(string_agg(document_id, ',' ORDER BY rank), '') AS cited,
+  round(max(score), 6) AS best_score, md5(coalesce(string_agg(text, '|' ORDER BY rank), '')) AS texts_md5
+FROM q LEFT JOIN hits ON q.q_id = hits.q_id GROUP BY q.q_id""",
     "context_budget": _hits()
-    + " SELECT q_id, CAST(sum(len(text)) AS BIGINT) AS context_chars, count(*) AS n_hits, "
-    "sum(len(text)) <= 12000 AS accepted FROM hits GROUP BY q_id",
+    + _WITH_STRANGERS
+    + """ SELECT q.q_id, CAST(coalesce(sum(len(text)), 0) AS BIGINT) AS context_chars, count(rank) AS n_hits,
+  coalesce(sum(len(text)), 0) <= 12000 AS accepted FROM q LEFT JOIN hits ON q.q_id = hits.q_id GROUP BY q.q_id""",
     "retrieve_text": f"""WITH RECURSIVE {_chunks(_FILINGS)},
 question AS (SELECT conv_id || '-' || turn AS q_id, text, 'src' || (conv_id % 20) AS tenant
              FROM conversations WHERE role = 'user'),
@@ -322,6 +362,9 @@ SELECT CAST(to_json({{'document_id': document_id, 's3_bucket': 'raw', 's3_key':
     "catalogue_lookup": f"{_COMPANIES} SELECT c_custkey, ticker, cik, title FROM companies",
     "catalogue_rejects": f"{_COMPANIES} SELECT c_custkey, ticker, 'ticker not found: ' || ticker AS reason "
     "FROM companies WHERE cik IS NULL",
+    "filing_rejects": f"""{_COMPANIES}, {_FILED}
+SELECT c_custkey, ticker, CASE WHEN cik IS NULL THEN 'ticker not found: ' ELSE 'no 10-K filing: ' END || ticker AS reason
+FROM companies LEFT JOIN filed ON c_custkey = company WHERE cik IS NULL OR company IS NULL""",
     "latest_filing": """WITH words AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents),
 found AS (SELECT doc_id, w, list_position(list_transform(w[1:greatest(len(w) - 2, 0)], lambda x: len(x) = 7), true) AS p FROM words)
 SELECT doc_id, CASE WHEN p > 0 THEN '7' || md5(w[p]) END AS accession,
@@ -332,10 +375,12 @@ SELECT doc_id, CASE WHEN p > 0 THEN '7' || md5(w[p]) END AS accession,
 cv AS ({_unit_terms('chunk', 'chunk_id')})
 SELECT chunk_id, CAST({_DIM} AS BIGINT) AS dim, count(x) AS n_slots,
        round(coalesce(sum(abs(x)), 0), 6) AS abs_sum, round(coalesce(sum(abs(x) * (slot + 1)), 0), 6) AS slot_sum,
-       round(coalesce(sum(x * x), 0), 6) AS square_sum
+       round(coalesce(sum(x * x), 0), 6) AS square_sum,
+       md5(coalesce(string_agg(slot || ':' || CAST(round(x * 10000) AS BIGINT), ',' ORDER BY slot), '')) AS vector_md5
 FROM chunk LEFT JOIN cv USING (chunk_id) GROUP BY chunk_id""",
     "embed_udf": f"""WITH RECURSIVE {_chunks(_FILINGS)}
-SELECT chunk_id, CAST(len(text) AS DOUBLE) AS v0, CAST(0 AS DOUBLE) AS v1, CAST(1 AS DOUBLE) AS v2 FROM chunk""",
+SELECT chunk_id, CAST(len(text) - len(replace(text, ' ', '')) + 1 AS DOUBLE) AS v0, CAST(len(text) AS DOUBLE) AS v1,
+  CAST(len(text) - len(replace(text, chr(10), '')) AS DOUBLE) AS v2, CAST(unicode(text) AS DOUBLE) AS v3 FROM chunk""",
     "l2_normalise": """WITH d AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x * 2::FLOAT AS DOUBLE)) AS v FROM embeddings),
 n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM d)
 SELECT vec_id, round(n, 6) AS norm, CAST(1 AS DOUBLE) AS unit_norm, round(v[1] / n, 6) AS first, round(v[-1] / n, 6) AS last FROM n""",
@@ -343,6 +388,14 @@ SELECT vec_id, round(n, 6) AS norm, CAST(1 AS DOUBLE) AS unit_norm, round(v[1] /
     "count(*) FILTER (WHERE len(embedding) <> 63) AS misfitting FROM embeddings GROUP BY label",
     "upsert_merge": _UPSERT,
     "upsert_table": _UPSERT,
+    "upsert_counts": """WITH n AS (SELECT (SELECT count(*) FROM documents) AS d,
+  (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS l,
+  (SELECT count(*) FROM documents JOIN labels USING (doc_id) WHERE quality = 0) AS fresh)
+SELECT unnest(['created', 'created again', 'received first', 'received second', 'stored']) AS step,
+  unnest([1, 0, d, 2 * l, d + fresh]) AS n FROM n""",
+    "raw_documents": """SELECT CAST(doc_id AS VARCHAR) AS document_id,
+  CASE WHEN doc_id % 10 <> 0 THEN md5(text) END AS content_md5,
+  CASE WHEN doc_id % 10 <> 0 THEN CAST(strlen(text) AS BIGINT) END AS n_bytes FROM documents""",
     "metadata_lookup": "SELECT d.doc_id || ':1:0' AS chunk_id, source AS tenant, CAST(coalesce(quality, -1) AS BIGINT) AS quality "
     "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE lang = 'de'",
     "reject_unembedded": "SELECT doc_id || ':1:0' AS chunk_id, 'has no embedding' AS reason "

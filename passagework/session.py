@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
+
 
 def build_session(master: str | None = None, cores: int | None = None) -> SparkSession:
     """A session with the settings the library relies on."""
@@ -43,12 +46,14 @@ def configure(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only when the session names none (tests on one machine) a temporary one is
-    made and set as the checkpoint folder.
+    Only when the session names none and runs on one machine (``local`` master), a
+    temporary one is made and set as the checkpoint folder; a cluster must name one.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="passagework-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
@@ -64,9 +69,11 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     """Compute once: write to the shared folder and read back what was written.
 
     Cuts the lineage in a place that outlives any executor, and later readers
-    prune columns. The files stay; see ``staged`` for ones that go.
+    prune columns. The files stay until ``remove_scratch``; see ``staged`` for ones
+    that go by themselves.
     """
     path = scratch_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -80,7 +87,21 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(
-            target, True
-        )
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of this library through Spark's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Remove all that ``written`` has left so far; returns the number of folders.
+
+    Frames that read those files can't be used any more: call it between jobs.
+    """
+    paths, _WRITTEN[:] = list(_WRITTEN), []
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)

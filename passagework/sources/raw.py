@@ -34,6 +34,41 @@ def attach_files(messages: DataFrame, files: DataFrame) -> DataFrame:
     return wanted.join(files, "object", "left").drop("object")
 
 
+def store_files(objects: DataFrame, root: str) -> int:
+    """Write ``content`` of each row as ``root/s3_bucket/s3_key``; the number of files written.
+
+    A file that is written again, by a retried task too, holds the same bytes. Rows without
+    content are skipped. Runs a job; ``root`` is as in ``fetch_files``.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _file_system(root)
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("s3_bucket", "s3_key", "content"))
+            done = 0
+            for bucket, key, content in zip(*columns, strict=True):
+                if content is None:
+                    continue
+                path = f"{base.rstrip('/')}/{bucket}/{key}"
+                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(path, compression=None) as stream:
+                    stream.write(content)
+                done += 1
+            yield pa.RecordBatch.from_pydict({"n": pa.array([done], pa.int64())})
+
+    rows = objects.select("s3_bucket", "s3_key", "content").mapInArrow(write, "n long")
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def _file_system(root: str):
+    """(file system, path) of a path or a URI that Arrow's file systems know."""
+    from pyarrow import fs
+
+    if "://" in root or root.startswith("file:"):
+        return fs.FileSystem.from_uri(root)
+    return fs.LocalFileSystem(), root
+
+
 def fetch_files(messages: DataFrame, root: str) -> DataFrame:
     """Add ``content`` by opening ``root/bucket/key`` for each message.
 
@@ -44,16 +79,11 @@ def fetch_files(messages: DataFrame, root: str) -> DataFrame:
     schema = T.StructType([*messages.schema.fields, T.StructField("content", T.BinaryType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        if "://" in root or root.startswith("file:"):
-            store, base = fs.FileSystem.from_uri(root)
-        else:
-            store, base = fs.LocalFileSystem(), root
+        store, base = _file_system(root)
 
         def load(bucket: str, key: str) -> bytes | None:
             try:
-                with store.open_input_stream(f"{base.rstrip('/')}/{bucket}/{key}") as stream:
+                with store.open_input_stream(f"{base.rstrip('/')}/{bucket}/{key}", compression=None) as stream:
                     return stream.read()
             except FileNotFoundError:
                 return None
