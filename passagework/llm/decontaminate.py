@@ -1,8 +1,8 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
 Postings (term, document, position) of all training tokens that a test item uses are
-stored once. Each window of test words starts from its rarest term and that term's
-neighbour: their postings, shifted by the offset in the window, are the candidate
+stored once. Each window of test words starts from its rarest term and the two that
+follow: their postings, shifted by the offset in the window, are the candidate
 starts, and the postings of the window's other terms at their shifted positions are
 intersected with those. Everything is DataFrame joins; no list of a term is gathered.
 """
@@ -59,43 +59,47 @@ def _neighbour(word: Column) -> Column:
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, text_key, pos, term, near) of every token in ``terms`` (term), and of ``END``.
+    """(doc_id, text_key, pos, term, near1, near2) of every token in ``terms`` (term), and of ``END``.
 
-    ``near`` stands for the next word. Null texts have no words, only the end.
+    ``near1`` and ``near2`` stand for the next two words. Null texts have no words, only the end.
     """
     words = with_once(
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text")),
         "words",
         F.array_append(letter_words(F.col("text")), F.lit(END)),
     )
-    tokens = words.select(*_DOC, F.posexplode("words").alias("pos", "word"), "words").select(
-        *_DOC, "pos", "word", F.when(F.col("word") != END, _neighbour(F.get("words", F.col("pos") + 1))).alias("near")
-    )
-    return tokens.join(terms, F.col("word") == F.col("term")).select(*_DOC, "pos", "term", "near")
+    near = (_neighbour(F.get("words", F.col("pos") + k)).alias(f"near{k}") for k in (1, 2))
+    tokens = words.select(*_DOC, F.posexplode("words").alias("pos", "word"), "words").select(*_DOC, "pos", "word", *near)
+    return tokens.join(terms, F.col("word") == F.col("term")).select(*_DOC, "pos", "term", "near1", "near2")
 
 
 def candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, win, size) where a window's rarest term and its neighbour stand."""
+    """(doc_id, text_key, start, win, size) where a window's rarest term and those after it stand."""
     often = written(index.groupBy("term").agg(F.count("*").alias("often")), "often").withColumnRenamed("term", "t")
     ranked = windows.join(often, F.col("term") == F.col("t"), "left").drop("t")
     by = Window.partitionBy("win")
-    after = F.lead("term").over(by.orderBy("off"))
-    ranked = ranked.withColumn("after", after).withColumn("found", F.count("often").over(by))
+    for k in (1, 2):
+        ranked = ranked.withColumn(f"after{k}", F.lead("term", k).over(by.orderBy("off")))
     # a window with a term that no document has is nowhere
-    ranked = ranked.where(F.col("found") == F.col("size"))
-    order = by.orderBy("often", "off")
-    rarest = ranked.withColumn("rank", F.row_number().over(order)).where("rank = 1")
-    # the last term has no next one: then its forerunner leads, and it is the neighbour
-    rarest = rarest.select("win", "size", F.when(F.col("after").isNull(), F.col("off") - 1).otherwise(F.col("off")).alias("lead"))
-    pairs = (
-        ranked.join(rarest.withColumnsRenamed({"win": "w", "size": "z"}), (F.col("win") == F.col("w")) & (F.col("off") == F.greatest("lead", F.lit(0))))
-        .select("win", "size", "off", F.col("term").alias("t"), F.when(F.col("size") > 1, _neighbour(F.col("after"))).alias("next"))
+    ranked = ranked.withColumn("found", F.count("often").over(by)).where(F.col("found") == F.col("size"))
+    rank = F.row_number().over(by.orderBy("often", "off"))
+    rarest = ranked.withColumn("rank", rank).where("rank = 1")
+    # near the end of a window an earlier term leads, so that the rarest is one of the three
+    lead = F.greatest(F.lit(0), F.least(F.col("off"), F.col("size") - 3)).alias("lead")
+    rarest = rarest.select(F.col("win").alias("w"), lead)
+    triples = ranked.join(rarest, (F.col("win") == F.col("w")) & (F.col("off") == F.col("lead"))).select(
+        "win", "size", "off", F.col("term").alias("t"), *(_neighbour(F.col(f"after{k}")).alias(f"next{k}") for k in (1, 2))
+    )
+    triples = written(triples, "rarest")
+    meet, first, second = (
+        F.col("term") == F.col("t"),
+        F.col("near1") == F.col("next1"),
+        F.col("near2") == F.col("next2"),
     )
-    pairs = written(pairs, "rarest")
-    meet = F.col("term") == F.col("t")
-    two = index.join(pairs.where("size > 1"), meet & (F.col("near") == F.col("next")))
-    one = index.join(pairs.where("size = 1"), meet)
-    found = two.unionByName(one).where("pos >= off")
+    three = index.join(triples.where("size > 2"), meet & first & second)
+    two = index.join(triples.where("size = 2"), meet & first)
+    one = index.join(triples.where("size = 1"), meet)
+    found = three.unionByName(two).unionByName(one).where("pos >= off")
     return found.select(*_DOC, (F.col("pos") - F.col("off")).alias("start"), "win", "size").distinct()
 
 
