@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from made_up import prose, vocabulary
 
 CLASHING = "words length key packet bucket fingerprint pool term pos k d a b n rank salt bin block start".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
@@ -8,15 +9,6 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, "
 )
 
 
-def vocabulary(n=400, seed=3):
-    draw = random.Random(seed)
-    return ["".join(draw.choice("abcdefghijklmnopqrstuvwxyzäé") for _ in range(draw.randint(2, 8))) for _ in range(n)]
-
-
-def prose(words, n, draw):
-    return " ".join(draw.choice(words) for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls, empty, blank and long texts, ties, repeated rows, a null id."""

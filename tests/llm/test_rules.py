@@ -2,7 +2,7 @@ import random
 import re
 
 import pytest
-from conftest import prose, vocabulary
+from made_up import prose, vocabulary
 
 from passagework.llm import rules
 

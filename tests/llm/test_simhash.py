@@ -84,7 +84,7 @@ def _shingles(text, k=5):
 
 @pytest.mark.parametrize("chunk", [16, 2048])
 def test_near_duplicates(table, odd_rows, monkeypatch, chunk):
-    from conftest import prose, vocabulary
+    from made_up import prose, vocabulary
 
     monkeypatch.setattr(near_duplicates, "CHUNK", chunk)
     draw, words = random.Random(chunk), vocabulary()
