@@ -75,7 +75,7 @@ def token_blocks(docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str | None
         def close() -> pd.DataFrame:
             nonlocal held, size, number
             ids = np.concatenate(held)
-            row = ((part << 32) + number, part, -(-len(ids) // seq_len), len(ids), zstandard.compress(ids.tobytes(), 6))
+            row = ((part << 32) + number, part, -(-len(ids) // seq_len), len(ids), zstandard.compress(ids.tobytes(), 9))
             held, size, number = [], 0, number + 1
             return pd.DataFrame([row], columns=[x.split()[0] for x in BLOCKS.split(", ")])
 
@@ -120,6 +120,7 @@ def write_shards(
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
+        pack = zstandard.ZstdCompressor(3).compress
         for frame in frames:
             for row in frame.itertuples():
                 raw = zstandard.decompress(row.packet)
@@ -127,12 +128,16 @@ def write_shards(
                 slots = feistel(np.arange(row.base, row.base + row.sequences), total, key)
                 for a in range(0, len(slots), 1024):
                     part = slots[a : a + 1024]
-                    ids = [raw[i * stride : (i + 1) * stride] for i in range(a, a + len(part))]
+                    # sequences move compressed, each by itself
+                    ids = [pack(raw[i * stride : (i + 1) * stride]) for i in range(a, a + len(part))]
                     yield pd.DataFrame({"slot": part, "shard": part // per_shard, "ids": ids})
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
         fs, root = shared_fs(folder)
         fs.create_dir(root, recursive=True)
+        unpack = zstandard.ZstdDecompressor().decompress
         now, out, row = None, None, None
 
         def close() -> pd.DataFrame:
@@ -147,7 +152,7 @@ def write_shards(
                     name = f"shard-{shard:08d}-{uuid.uuid4().hex}.bin"
                     out, now = fs.open_output_stream(f"{root}/{name}", compression=None, buffer_size=1 << 20), shard
                     row = [shard, os.path.join(folder, name), slot, 0, stride]
-                out.write(ids)
+                out.write(unpack(ids))
                 row[3] += 1
         if out:
             yield close()
@@ -190,7 +195,8 @@ def read_shards(manifest: DataFrame, first_slot: int = 0, end_id: int = END_ID)
                             }
                         )
 
-    return manifest.repartition("path").mapInPandas(read, READ)
+    # a row is a whole shard: rows few in bytes are not few in work, so their number is given
+    return manifest.repartition(max(1, manifest.count()), "path").mapInPandas(read, READ)
 
 
 def training_order(docs: DataFrame, seq_len: int = SEQ_LEN, per_shard: int = SHARD, key: int = KEY) -> DataFrame:
