@@ -237,8 +237,9 @@ def ppm_scores(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFra
             for doc_id, h, code, s in zip(ids, held, codes, scores, strict=True):
                 words = code.lower().split()
                 words.append(b"")
-                for w in set(words) - often.keys():
-                    often[w] = float(value[np.searchsorted(keys[:split], word_key(w))])
+                new = [w for w in set(words) if w not in often]
+                at = np.searchsorted(keys[:split], np.array(list(map(word_key, new)), np.int64))
+                often.update(zip(new, value[at].tolist(), strict=True))
                 n = np.array([often[w] for w in words])
                 out.append((doc_id, h, len(n), int((n > 0).sum()), float(np.log10(n + 0.1).sum()), float(s), None))
         out.append((None, None, None, None, None, None, int(told["first"].sum())))
