@@ -32,7 +32,7 @@ ORDER = 4
 END, START = 256, 257
 _BITS, _SYMBOL = 9, (1 << 9) - 1
 #: Bytes of text in a block, and in what is coded at a time.
-BLOCK, SLICE = 16 << 20, 1 << 20
+BLOCK, SLICE = 32 << 20, 1 << 20
 COUNTS = "block long, key long, n long, packet binary"
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, word_score double, score double, distinct_tokens long"
@@ -112,7 +112,7 @@ def blocks(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
                 return
             ids, held, codes = map(list, zip(*rows, strict=True))
             keys, n = _count(codes, ~np.array(held, bool), order)
-            packet = zstandard.compress(pickle.dumps((ids, held, codes)), 3)
+            packet = zstandard.compress(pickle.dumps((ids, held, codes)), 9)
             for a in range(0, len(keys), 50_000):
                 part = slice(a, a + 50_000)
                 yield pd.DataFrame({"block": number, "key": keys[part], "n": n[part], "packet": None})
