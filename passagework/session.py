@@ -96,6 +96,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
+def scratch_mark() -> int:
+    """A place in the list of what ``written`` has left, for ``take_scratch``."""
+    return len(_WRITTEN)
+
+
+def take_scratch(mark: int) -> list[str]:
+    """The folders that ``written`` has left since ``mark``; removing them is the caller's task now."""
+    taken, _WRITTEN[mark:] = _WRITTEN[mark:], []
+    return taken
+
+
 def remove_scratch(spark: SparkSession) -> int:
     """Remove all that ``written`` has left so far; returns the number of folders.
 
