@@ -266,7 +266,8 @@ def redact(docs: DataFrame) -> DataFrame:
     found = personal_spans(docs).where(F.size("found") > 0)
     once = found.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(F.first("found").alias("_found"))
     keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(once, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
+    # texts move once, to what was found, at every size
+    joined = keyed.join(written(once, "found").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
 
     @F.pandas_udf("string")
     def masked(text: pd.Series, spans: pd.Series) -> pd.Series:
