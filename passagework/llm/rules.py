@@ -29,14 +29,15 @@ MIN_POOL = 200
 SALTS = 64
 #: Median of the chi-square distribution with as many degrees as ``VECTOR`` has parts.
 CHI_MEDIAN = 4.351
-#: Squared distances over this are outliers: far beyond the chi-square tail (its 1e-6
-#: quantile is 35), as lengths and repeats have longer tails than a normal distribution.
-CUTOFF = 120.0
+#: Squared distances over this are outliers: what chi-square exceeds with probability 1e-6.
+CUTOFF = 35.89
 _BIN = 16  # bins of squared distances per factor of e
 
-#: Transformed statistics, each with the least deviation it is judged by.
+#: Transformed statistics, each with the least deviation it is judged by. That of the size is
+#: a factor of two, as a long text is no worse than others; smaller ones of repeats and symbols
+#: reject texts that are labelled as good (figures in the README).
 VECTOR: dict[str, tuple[str, float]] = {
-    "size": ("ln(n_words)", 0.3),
+    "size": ("ln(n_words)", 0.7),
     "word": ("ln(word_chars / n_words)", 0.05),
     "symbols": ("log1p(100 * n_symbols / word_chars)", 0.2),
     "lines": ("log1p(20 * n_dup_lines / sqrt(n_words))", 0.3),
