@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.llm import (
+    attention,
+    bitslices,
+    collocations,
     decontaminate,
     licences,
     packing,
@@ -69,6 +72,21 @@ def op10_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("spans", pii.described(F.col("found"))).drop("found", "text_key")
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+def op12_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    documents, labels = (_table(spark, folder, x) for x in ("documents", "labels"))
+    return attention.quality_scores(documents, labels, held_out)
+
+
+def op13_bit_sliced_search(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = (_table(spark, folder, x) for x in ("documents", "benchmark"))
+    return bitslices.ranked_search(documents, benchmark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
@@ -81,10 +99,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_pivots,
         op9_licence_automaton,
         op10_weak_supervision_pii,
+        op11_phrase_collocations,
+        op12_attention_quality,
+        op13_bit_sliced_search,
     )
 }
-_WORDS = r"""list_filter(regexp_split_to_array(
-  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"""list_filter(regexp_split_to_array(
+  {_LOWER},
   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
 ORACLES: dict[str, str] = {
@@ -107,5 +129,53 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
-"""
+""",
+    "op11_phrase_collocations": rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+  FROM worded, (VALUES (1), (2), (3), (4)) AS s(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM places GROUP BY lang, k, phrase),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM f WHERE f >= 30),
+cuts AS (
+  SELECT lang, phrase, f, cut, array_to_string(list_slice(w, 1, cut), ' ') AS first, array_to_string(list_slice(w, cut + 1, k), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.cut, x.f AS l, y.f AS r,
+    CAST((CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+least AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM scored) WHERE o = 1),
+inside AS (
+  SELECT lang, array_to_string(list_slice(w, i, j), ' ') AS phrase, max(f) AS outer_f
+  FROM (SELECT *, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM often WHERE k > 2))
+  WHERE j - i + 1 < k GROUP BY ALL),
+kept AS (
+  SELECT least.* FROM least LEFT JOIN inside USING (lang, phrase) WHERE coalesce(100 * outer_f, 0) < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""",
+    "op13_bit_sliced_search": rf"""
+WITH d AS (
+  SELECT * FROM (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents) WHERE len(w) > 0),
+s AS (SELECT count(*) AS members, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+m AS (SELECT row, doc_id, 75 + (25 * len(w) * members) // total AS m FROM d, s),
+q AS (SELECT row_number() OVER () AS q, item_id, {_WORDS} AS w FROM benchmark),
+asked AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(w) AS t FROM q) GROUP BY q, t),
+tf AS (
+  SELECT row, t, count(*) AS tf FROM (SELECT row, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM asked) GROUP BY row, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(members) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM tf, s GROUP BY t),
+scored AS (
+  SELECT q, row, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (t) JOIN tf USING (t) JOIN m USING (row) GROUP BY q, row),
+ranked AS (
+  SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored JOIN m USING (row) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN q USING (q) WHERE rank <= 20
+""",
 }
