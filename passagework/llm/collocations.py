@@ -4,9 +4,10 @@ Every word position is a pointer to the up to four words that follow it in its p
 that are too rare to stand in a frequent phrase end a suffix. Suffixes are dealt out by
 their leading words, as many of them as it takes to reach a word that is not hot, so that
 no group is larger than a hot word's bound; copies within a block travel as one pointer
-with a weight. A task then sorts its pointers by multikey three-way quicksort, word by word
-and four words deep at most: the weight of an equal part is the count of its phrase, and a
-part whose weight is below the least count is abandoned with all that is in it. Only
+with a weight, words as numbers. A task parts its pointers by their two leading words,
+abandons infrequent parts, and sorts the others by multikey three-way quicksort, word by
+word and four words deep at most: the weight of an equal part is the count of its phrase,
+and a part whose weight is below the least count is abandoned with all that is in it. Only
 phrases of hot words alone are counted in several tasks, and summed afterwards.
 """
 
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from passagework.llm.common import small_batches
@@ -37,7 +38,7 @@ NO_LANG = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLOCKS = "block long, id int, lang string, word string, n long, packet binary"
 ROUTED = "route long, packet binary"
-COUNTS = "lang string, phrase string, size int, f long"
+COUNTS = "words array<long>, size int, f long"
 
 
 def _table() -> bytes:
@@ -120,20 +121,24 @@ def word_blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return slim.mapInPandas(cut, BLOCKS)
 
 
-def distinct_suffixes(ids: np.ndarray, usable: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different suffixes of two words or more, a row of word numbers each (0: ended), and how often each stands."""
-    padded = np.concatenate([np.where(usable[ids], ids, 0), np.zeros(depth, ids.dtype)])
-    columns = [padded[: len(ids)].astype(np.int64)]
+def distinct_suffixes(numbers: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different suffixes of two words or more, sorted, a column per word (0: ended), and how often each stands.
+
+    ``numbers`` are the words' numbers in the order of the text, 0 where a suffix ends.
+    """
+    padded = np.concatenate([numbers, np.zeros(depth, numbers.dtype)])
+    at = np.flatnonzero((numbers > 0) & (padded[1 : len(numbers) + 1] > 0))
+    columns = [numbers[at]]
     for d in range(1, depth):
-        columns.append(np.where(columns[-1] > 0, padded[d : d + len(ids)], 0))
-    long = np.flatnonzero((columns[0] > 0) & (columns[1] > 0))
-    columns = [c[long] for c in columns]
-    base = len(usable)
-    key = np.zeros(len(long), np.int64)
-    for column in columns:  # ranks of the prefixes so far, so that keys stay below 2^63
-        _, key = np.unique(key * base + column, return_inverse=True)
-    _, first, weight = np.unique(key, return_index=True, return_counts=True)
-    return np.stack([c[first] for c in columns], axis=1).astype(np.int32), weight.astype(np.int64)
+        columns.append(np.where(columns[-1] > 0, padded[at + d], 0))
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.zeros(len(at), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    first = np.flatnonzero(new)
+    return np.stack([c[first] for c in columns]), np.diff(np.append(first, len(at)))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -142,21 +147,35 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def leading(suffixes: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """How many words at each suffix's start are all hot."""
-    run = np.ones(len(suffixes), bool)
-    lead = np.zeros(len(suffixes), np.int8)
-    for column in suffixes.T:
-        run = run & (column > 0) & hot[column]
+def route_of(columns: np.ndarray, spoken: np.ndarray, f: np.ndarray, routes: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each suffix's route, and how many words at its start are all hot.
+
+    A word that is not hot has one route. A hot one spreads over as many as its count asks
+    for, by the words up to the first that is not hot; a pair of hot words over as many as
+    the rarer one's count asks for, so that few tasks hold a part of its count.
+    """
+    n = columns.shape[1]
+    run, mix, lead = np.ones(n, bool), np.zeros(n, np.uint64), np.zeros(n, np.int8)
+    after: list[np.ndarray] = []
+    for column in columns:
+        mix = np.where(run, _mixed(mix + spoken[column].astype(np.uint64)), mix)
+        after.append(mix)
+        run = run & (f[column] > hot)
         lead += run
-    return lead
+    counts = f[columns[:2]].astype(np.uint64)
+    spread, inner = counts[0] // np.uint64(hot) + np.uint64(1), counts.min(axis=0) // np.uint64(hot) + np.uint64(1)
+    offset = after[1] % spread + np.where(lead >= 2, mix % inner, np.uint64(0))
+    offset = np.where(lead >= 1, offset % spread, np.uint64(0))
+    return ((after[0] % np.uint64(routes) + offset) % np.uint64(routes)).astype(np.int64), lead
+
 
+def routed(packets: DataFrame, asked: DataFrame, routes: int, hot: int) -> DataFrame:
+    """Each block's different suffixes, dealt to ``routes`` by their leading words.
 
-def routed(packets: DataFrame, asked: DataFrame, routes: int, hot_count: int) -> DataFrame:
-    """Each block's different suffixes, dealt to ``routes`` by their leading words."""
+    ``asked`` has the numbers and counts of the block's frequent words.
+    """
 
     def deal(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        import xxhash
         import zstandard
 
         out: list[tuple[int, bytes]] = []
@@ -166,44 +185,33 @@ def routed(packets: DataFrame, asked: DataFrame, routes: int, hot_count: int) ->
                 continue
             mine = asked["id"].to_numpy()
             size = max(int(ids.max()), int(mine.max())) + 1
-            usable, hot, hashes = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, np.uint64)
-            usable[mine], hot[mine] = True, asked["f"].to_numpy() > hot_count
-            names = [f"{lang} {word}" for lang, word in zip(asked["lang"], asked["word"], strict=True)]
-            hashes[mine] = [xxhash.xxh64_intdigest(x) for x in names]
-            spoken = dict(zip(mine.tolist(), zip(asked["lang"], asked["word"], strict=True), strict=True))
-            suffixes, weight = distinct_suffixes(ids, usable, DEPTH)
-            lead = leading(suffixes, hot)
-            mix = np.zeros(len(suffixes), np.uint64)
-            for d in range(DEPTH):  # words up to the first that is not hot
-                counts = (lead >= d) & (suffixes[:, d] > 0)
-                mix = np.where(counts, _mixed(mix + hashes[suffixes[:, d]]), mix)
-            route = (mix % np.uint64(routes)).astype(np.int64)
+            numbers = np.zeros(size, np.int32)
+            numbers[mine] = np.arange(1, len(mine) + 1)
+            spoken = np.append(0, asked["number"].to_numpy())
+            spoken = spoken.astype(np.int32 if spoken.max() < 1 << 31 else np.int64)
+            columns, weight = distinct_suffixes(numbers[ids], DEPTH)
+            route, lead = route_of(columns, spoken, np.append(0, asked["f"].to_numpy()), routes, hot)
             order = np.argsort(route, kind="stable")
-            edges = np.flatnonzero(np.diff(route[order])) + 1
-            for rows in np.split(order, edges):
-                if not len(rows):
-                    continue
-                used, local = np.unique(suffixes[rows], return_inverse=True)
-                words = [spoken.get(i) for i in used.tolist()]
-                body = (words, hot[used], local.reshape(-1, DEPTH).astype(np.int32), weight[rows])
-                out.append((int(route[rows[0]]), zstandard.compress(pickle.dumps(body), 1)))
+            for rows in np.split(order, np.flatnonzero(np.diff(route[order])) + 1):
+                if len(rows):
+                    body = (spoken[columns[:, rows]], lead[rows], weight[rows])
+                    out.append((int(route[rows[0]]), zstandard.compress(pickle.dumps(body), 1)))
         return pd.DataFrame(out, columns=["route", "packet"])
 
     return packets.groupBy("of").cogroup(asked.groupBy("block")).applyInPandas(deal, ROUTED)
 
 
-def three_way(suffixes: np.ndarray, weight: np.ndarray, lead: np.ndarray, least: int) -> list[tuple[tuple[int, ...], int]]:
-    """Multikey three-way quicksort of pointers: every prefix of two words or more and its weight.
+def three_way(columns: np.ndarray, weight: np.ndarray, lead: np.ndarray, least: int, parts: list[np.ndarray], depth: int) -> Iterator[tuple[int, int, int]]:
+    """Multikey three-way quicksort of pointers, from word ``depth`` on within each part.
 
-    Parts that weigh less than ``least`` are abandoned, unless a prefix of hot words is in
-    them (``lead``), of which this task may hold a part only.
+    Gives (a pointer, words, weight) of every prefix longer than ``depth`` words. Parts that
+    weigh less than ``least`` are abandoned, unless a prefix of hot words is in them
+    (``lead`` counts a suffix's leading hot words), of which this task may hold a part only.
     """
-    depth_most = suffixes.shape[1]
-    out: list[tuple[tuple[int, ...], int]] = []
-    stack: list[tuple[np.ndarray, int]] = [(np.arange(len(suffixes)), 0)]
+    stack = [(rows, depth) for rows in parts]
     while stack:
         rows, depth = stack.pop()
-        key = suffixes[rows, depth]
+        key = columns[depth][rows]
         n = len(rows)
         if n == 1:
             pivot, middle = key[0], rows
@@ -222,11 +230,31 @@ def three_way(suffixes: np.ndarray, weight: np.ndarray, lead: np.ndarray, least:
         total = int(weight[middle].sum())
         if total < least and lead[middle[0]] <= depth:
             continue
-        if depth:
-            out.append((tuple(suffixes[middle[0], : depth + 1].tolist()), total))
-        if depth + 1 < depth_most:
+        yield int(middle[0]), depth + 1, total
+        if depth + 1 < len(columns):
             stack.append((middle, depth + 1))
-    return out
+
+
+def prefix_counts(columns: np.ndarray, weight: np.ndarray, lead: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+    """(a pointer, words, weight) of every prefix of two words or more, infrequent ones left out.
+
+    The pointers are parted by their two leading words at once; what is left of those parts
+    goes on to the quicksort.
+    """
+    order = np.lexsort((columns[1], columns[0]))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for column in columns[:2]:
+        ordered = column[order]
+        new[1:] |= ordered[1:] != ordered[:-1]
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(weight[order], first) if len(first) else first
+    stay = np.flatnonzero((total >= least) | (lead[order[first]] >= 2))
+    last = np.append(first, len(order))[1:]
+    parts = [order[first[i] : last[i]] for i in stay.tolist()]
+    for part, n in zip(parts, total[stay].tolist(), strict=True):
+        yield int(part[0]), 2, n
+    yield from three_way(columns, weight, lead, least, parts, 2)
 
 
 def _sorted_counts(dealt: DataFrame, least: int) -> DataFrame:
@@ -235,82 +263,81 @@ def _sorted_counts(dealt: DataFrame, least: int) -> DataFrame:
     def count(held: pd.DataFrame) -> pd.DataFrame:
         import zstandard
 
-        numbers: dict = {None: 0}
-        parts, weights, hot = [], [], [np.zeros(1, bool)]
-        for packet in held["packet"]:
-            words, is_hot, local, weight = pickle.loads(zstandard.decompress(packet))
-            known = len(numbers)
-            at = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int32)
-            hot.append(is_hot[at >= known])
-            parts.append(at[local])
-            weights.append(weight)
-        suffixes, spoken = np.concatenate(parts), list(numbers)
-        lead = leading(suffixes, np.concatenate(hot))
-        found = three_way(suffixes, np.concatenate(weights), lead, least)
-        out = [(spoken[p[0]][0], " ".join(spoken[i][1] for i in p), len(p), f) for p, f in found]
-        return pd.DataFrame(out, columns=["lang", "phrase", "size", "f"])
+        columns, lead, weight = zip(*(pickle.loads(zstandard.decompress(x)) for x in held["packet"]), strict=True)
+        columns, lead, weight = np.concatenate(columns, axis=1), np.concatenate(lead), np.concatenate(weight)
+        found = [(columns[:n, at], n, f) for at, n, f in prefix_counts(columns, weight, lead, least)]
+        return pd.DataFrame(found, columns=["words", "size", "f"])
 
     return dealt.groupBy("route").applyInPandas(count, COUNTS)
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, group: int = GROUP, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """((lang, word, f) of all words, (lang, phrase, size, f) of the phrases found ``least`` times). Runs jobs."""
+def _numbered(words: DataFrame) -> DataFrame:
+    """Add ``number``: 1 for the first row, and so on, by the sizes of the table's parts."""
+    parted = written(words.withColumn("at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("at", 33)
+    sizes = parted.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    return parted.join(F.broadcast(before), part == F.col("part")).select(
+        *words.columns, (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1) + 1).alias("number")
+    )
+
+
+def phrase_counts(docs: DataFrame, least: int = LEAST, group: int = GROUP, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Frequent words (lang, word, f, number), phrases of their numbers (words, size, f), words of each language (lang, n).
+
+    Runs jobs.
+    """
     held = written(word_blocks(docs), "words")
     local = held.where("packet IS NULL").drop("packet")
-    words = written(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "vocabulary")
-    often = words.where(F.col("f") >= least).select(F.col("lang").alias("l"), F.col("word").alias("w"), "f")
-    asked = local.join(often, (F.col("lang") == F.col("l")) & (F.col("word") == F.col("w"))).select(
-        "block", "id", "lang", "word", "f"
-    )
+    counted = written(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "vocabulary")
+    totals = written(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    often = written(_numbered(counted.where(F.col("f") >= least)), "frequent")
+    named = often.select(F.col("lang").alias("l"), F.col("word").alias("w"), "number", "f")
+    asked = local.join(named, (F.col("lang") == F.col("l")) & (F.col("word") == F.col("w"))).select("block", "id", "number", "f")
     total = often.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
     packets = held.where("packet IS NOT NULL").select(F.col("block").alias("of"), "packet")
     dealt = written(routed(packets, asked, total // group + 1, hot), "suffixes")
-    sums = _sorted_counts(dealt, least).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
-    return words, written(sums.where(F.col("f") >= least), "phrases")
-
+    sums = _sorted_counts(dealt, least).groupBy("words", "size").agg(F.sum("f").alias("f"))
+    return often, written(sums.where(F.col("f") >= least), "phrases"), totals
 
-def _slice(first: Column, n: Column) -> Column:
-    return F.array_join(F.slice("words", first, n), " ")
 
-
-def weakest_cuts(words: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(lang, phrase, a, l, r, score) of each phrase at its lowest-scoring cut. All parts of a phrase must be given."""
-    split = phrases.withColumn("words", F.split("phrase", " "))
-    cuts = split.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
-    cuts = cuts.select(
-        "lang", "phrase", F.col("f").alias("a"), "k",
-        _slice(F.lit(1), F.col("k")).alias("first"), _slice(F.col("k") + 1, F.col("size")).alias("rest"),
-    )
-    parts = words.select("lang", F.col("word").alias("part"), "f").union(phrases.select("lang", "phrase", "f"))
+def weakest_cuts(phrases: DataFrame, often: DataFrame) -> DataFrame:
+    """(words, size, a, l, r, score) of each phrase at its lowest-scoring cut. All parts of a phrase must be given."""
+    cuts = phrases.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).select(
+        "words", "size", F.col("f").alias("a"), "k",
+        F.slice("words", 1, F.col("k")).alias("first"), F.slice("words", F.col("k") + 1, F.col("size")).alias("rest"),
+    )
+    parts = often.select(F.array("number").alias("part"), "f").union(phrases.select("words", "f"))
     for side, name in (("first", "l"), ("rest", "r")):
-        other = parts.select(F.col("lang").alias("_l"), F.col("part").alias("_p"), F.col("f").alias(name))
+        other = parts.select(F.col("part").alias("_p"), F.col("f").alias(name))
         # stored, so that a word in many phrases is split over tasks by the skew join
-        cuts = written(cuts.join(other, (F.col("lang") == F.col("_l")) & (F.col(side) == F.col("_p"))).drop("_l", "_p", side), "cuts")
+        cuts = written(cuts.join(other, F.col(side) == F.col("_p")).drop("_p", side), "cuts")
     score = F.expr("(2000000BD * CAST(a AS DECIMAL(25, 0))) DIV CAST(l + r AS DECIMAL(25, 0))")
-    least = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
-    return least.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    least = cuts.groupBy("words", "size", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
+    return least.select("words", "size", "a", "cut.l", "cut.r", "cut.score")
 
 
 def inside_longer(phrases: DataFrame, nested: int = NESTED) -> DataFrame:
-    """(lang, phrase) of those inside a longer one with ``nested`` percent of their count or more."""
-    longer = phrases.where("size > 2").withColumn("words", F.split("phrase", " "))
-    spans = F.filter(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), F.col("size") - 1),
-                lambda i: F.transform(
-                    F.sequence(F.lit(2), F.col("size") - 1),
-                    lambda n: F.when(i + n - 1 <= F.col("size"), F.array_join(F.slice("words", i, n), " ")),
-                ),
-            )
-        ),
-        lambda x: x.isNotNull(),
+    """The ``words`` of phrases inside a longer one with ``nested`` percent of their count or more."""
+    size = F.col("size")
+    spans = F.transform(
+        F.sequence(F.lit(1), size - 1),
+        lambda i: F.transform(F.sequence(F.lit(2), F.least(size - 1, size - i + 1)), lambda n: F.slice("words", i, n)),
     )
-    inner = longer.select(F.col("lang").alias("_l"), F.explode(F.array_distinct(spans)).alias("_p"), F.col("f").alias("outer"))
-    most = inner.groupBy("_l", "_p").agg(F.max("outer").alias("outer"))
-    return phrases.join(most, (F.col("lang") == F.col("_l")) & (F.col("phrase") == F.col("_p"))).where(
-        100 * F.col("outer") >= nested * F.col("f")
-    ).select("lang", "phrase")
+    inner = phrases.where("size > 2").select(F.explode(F.array_distinct(F.flatten(spans))).alias("_p"), F.col("f").alias("outer"))
+    most = inner.groupBy("_p").agg(F.max("outer").alias("outer"))
+    both = phrases.join(most, F.col("words") == F.col("_p"))
+    return both.where(100 * F.col("outer") >= nested * F.col("f")).select(F.col("words").alias("_p"))
+
+
+def spoken(found: DataFrame, often: DataFrame) -> DataFrame:
+    """Add ``lang`` and ``phrase`` to rows with different ``words``."""
+    each = found.select("words", F.posexplode("words").alias("at", "_n"))
+    named = written(each.join(often.select("number", "lang", "word"), F.col("_n") == F.col("number")), "spoken")
+    texts = named.groupBy(F.col("words").alias("_w")).agg(
+        F.min("lang").alias("lang"), F.array_join(F.array_sort(F.collect_list(F.struct("at", "word")))["word"], " ").alias("phrase")
+    )  # four words at most in a group
+    return found.join(texts, F.col("words") == F.col("_w")).drop("_w")
 
 
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, **sizes: int) -> DataFrame:
@@ -319,11 +346,11 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, **sizes: i
     Null texts are empty; a null language counts as ``und``; repeated rows count each time;
     an empty table gives no rows. Arithmetic is exact. Runs jobs.
     """
-    words, phrases = phrase_counts(docs, least, **sizes)
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n")).withColumnRenamed("lang", "_l")
-    gone = inside_longer(phrases).select(F.col("lang").alias("_l"), F.col("phrase").alias("_p"))
-    scored = weakest_cuts(words.where(F.col("f") >= least), phrases)
-    kept = scored.join(gone, (F.col("lang") == F.col("_l")) & (F.col("phrase") == F.col("_p")), "left_anti")
+    often, phrases, totals = phrase_counts(docs, least, **sizes)
+    kept = weakest_cuts(phrases, often).join(inside_longer(phrases), F.col("words") == F.col("_p"), "left_anti")
+    named = spoken(written(kept, "kept"), often)
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
-    return ranked.join(totals, F.col("lang") == F.col("_l")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    ranked = named.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    return ranked.join(totals.withColumnRenamed("lang", "_l"), F.col("lang") == F.col("_l")).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score"
+    )

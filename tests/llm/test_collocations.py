@@ -77,24 +77,27 @@ def test_empty(empty):
 
 def test_three_way_counts_prefixes():
     draw = np.random.default_rng(3)
-    suffixes = draw.integers(0, 4, (500, 4)).astype(np.int32)
+    columns = draw.integers(0, 4, (4, 500))
     for d in range(1, 4):
-        suffixes[:, d] = np.where(suffixes[:, d - 1] > 0, suffixes[:, d], 0)
-    suffixes = suffixes[suffixes[:, 0] > 0]
-    weight = draw.integers(1, 5, len(suffixes))
+        columns[d] = np.where(columns[d - 1] > 0, columns[d], 0)
+    columns = columns[:, columns[1] > 0]
+    weight = draw.integers(1, 5, columns.shape[1])
     expected = Counter()
-    for row, w in zip(suffixes.tolist(), weight.tolist(), strict=True):
+    for row, w in zip(columns.T.tolist(), weight.tolist(), strict=True):
         size = row.index(0) if 0 in row else 4
         for n in range(2, size + 1):
             expected[tuple(row[:n])] += w
-    none = np.zeros(len(suffixes), np.int8)
-    assert dict(collocations.three_way(suffixes, weight, none, 9)) == {p: n for p, n in expected.items() if n >= 9}
-    all_hot = collocations.leading(suffixes, np.array([False, True, True, True]))
-    assert dict(collocations.three_way(suffixes, weight, all_hot, 9)) == expected
+
+    def counts(lead):
+        return {tuple(columns[:n, at].tolist()): f for at, n, f in collocations.prefix_counts(columns, weight, lead, 9)}
+
+    none = np.zeros(len(weight), np.int8)
+    assert counts(none) == {p: n for p, n in expected.items() if n >= 9}
+    assert counts((columns > 0).sum(axis=0)) == expected
 
 
 def test_large_counts_are_exact(spark):
-    words = spark.createDataFrame([("x", "p", 6 * 10**18), ("x", "q", 3 * 10**18 + 7)], "lang string, word string, f long")
-    phrases = spark.createDataFrame([("x", "p q", 2, 3 * 10**18)], "lang string, phrase string, size int, f long")
-    (row,) = collocations.weakest_cuts(words, phrases).collect()
+    often = spark.createDataFrame([(1, 6 * 10**18), (2, 3 * 10**18 + 7)], "number long, f long")
+    phrases = spark.createDataFrame([([1, 2], 2, 3 * 10**18)], "words array<long>, size int, f long")
+    (row,) = collocations.weakest_cuts(phrases, often).collect()
     assert row["score"] == 2_000_000 * 3 * 10**18 // (9 * 10**18 + 7)
