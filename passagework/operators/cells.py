@@ -1,6 +1,8 @@
-"""Approximate search: vectors are grouped into cells, a question visits a few.
+"""Search by cells: vectors are grouped into cells, a question visits those it has to.
 
-Recall grows with ``nprobe``; visiting every cell gives the exact result.
+``nearest_in_cells`` visits a fixed number: recall grows with ``nprobe`` and with overlapping
+cells; every cell gives the exact result. ``nearest_by_bound`` needs no number: a cell is
+left out when its bound (centre and radius) shows that it holds no better hit.
 """
 
 from __future__ import annotations
@@ -101,10 +103,48 @@ def nearest_cells(vector: Column, centroids: list[list[float]], n: int) -> Colum
     return cells(vector)
 
 
-def assign_cells(chunks: DataFrame, centroids: list[list[float]]) -> DataFrame:
-    """Add ``cell``; store it with the chunks so that it is computed once."""
-    found = nearest_cells(F.col("embedding"), centroids, 1)
-    return chunks.withColumn("cell", F.element_at(found, 1))
+def assign_cells(chunks: DataFrame, centroids: list[list[float]], copies: int = 1, spill: float = 1.0) -> DataFrame:
+    """Add ``cell``; store it with the chunks so that it is computed once.
+
+    With two ``copies`` each vector also stands in a second cell: the nearest after a
+    penalty, ``spill`` times the squared part of the second residual that points along the
+    first. Where the first cell misjudges a vector for a question, such a second one doesn't.
+    """
+    if copies == 1:
+        found = nearest_cells(F.col("embedding"), centroids, 1)
+        return chunks.withColumn("cell", F.element_at(found, 1))
+    found = residual_cells(F.col("embedding"), centroids, spill)
+    return chunks.withColumn("cell", F.explode_outer(F.array_distinct(found)))
+
+
+def residual_cells(vector: Column, centroids: list[list[float]], spill: float) -> Column:
+    """[nearest cell, second cell by residual angle] of each vector; NULL without a vector."""
+    centres = np.asarray(centroids, dtype=np.float64)
+    squares = (centres * centres).sum(axis=1)
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def cells(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out: list = [None] * len(batch)
+            present = [i for i, v in enumerate(batch) if v is not None]
+            if present:
+                rows = np.stack([batch.iat[i] for i in present]).astype(np.float64)
+                length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+                rows = np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
+                dots = rows @ centres.T
+                distance = np.round(squares[None, :] - 2.0 * dots, 12)
+                first = distance.argmin(axis=1)
+                residual = rows - centres[first]
+                along = (rows * residual).sum(axis=1, keepdims=True) - residual @ centres.T
+                norm = (residual * residual).sum(axis=1, keepdims=True)
+                cost = distance + spill * np.divide(along * along, norm, out=np.zeros_like(along), where=norm > 0)
+                cost[np.arange(len(first)), first] = np.inf
+                second = np.where(np.isfinite(cost).any(axis=1), np.round(cost, 12).argmin(axis=1), first)
+                for i, a, b in zip(present, first.tolist(), second.tolist(), strict=True):
+                    out[i] = [a, b]
+            yield pd.Series(out, dtype=object)
+
+    return cells(vector)
 
 
 def nearest_in_cells(
@@ -131,3 +171,22 @@ def nearest_in_cells(
         default_k=default_k,
         **limits,
     )
+
+
+def nearest_by_bound(
+    questions: DataFrame,
+    celled_chunks: DataFrame,
+    *,
+    dim: int,
+    payload: tuple[str, ...] = PAYLOAD,
+    default_k: int = DEFAULT_TOP_K,
+    **limits: int,
+) -> DataFrame:
+    """Like ``nearest``, with its result; chunks stand in one cell each, best stored in its order.
+
+    A task looks at a cell for a question only while the bound over the cell's rows reaches
+    the k-th score found so far.
+    """
+    return nearest(
+        questions, celled_chunks, dim=dim, near="cell", payload=payload, default_k=default_k, **limits
+    )
