@@ -24,6 +24,7 @@ from passagework.session import scratch_path, written
 
 ARCHIVE = 64 << 20
 CHUNK = 1 << 20
+SALTS = 16
 ARCHIVES = "path string, records long"
 INDEX = "path string, offset long, length long, record_type string, record_id string"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -77,10 +78,13 @@ def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
-    least = rows.groupBy("sha").agg(F.min("page_id").alias("least"))
-    least = written(least.where("least IS NOT NULL").withColumnRenamed("sha", "s"), "originals")
+    least = rows.groupBy(F.col("sha").alias("s")).agg(F.min("page_id").alias("least"), F.count("*").alias("n"))
+    # only payloads met again are looked up, each under several salts: a common page is many tasks'
+    least = written(least.where("n > 1 AND least IS NOT NULL").drop("n"), "originals")
+    least = least.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
     other = (F.octet_length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("least"))
-    return rows.join(least, F.col("sha") == F.col("s"), "left").select(
+    return rows.join(least, (F.col("sha") == F.col("s")) & (F.col("salt") == F.col("t")), "left").select(
         "page_id", "url", "payload", F.when(other, F.col("least")).alias("refers_to")
     )
 
@@ -152,8 +156,9 @@ def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
 def normalise(archives: DataFrame) -> DataFrame:
     """Rewrite each whole-stream archive with a member per record: its sidecar index as rows.
 
-    The index also lies beside the archive, as tab-separated lines (``.idx``). A task reads
-    one archive in pieces of a megabyte and holds one record.
+    The index also lies beside the archive, as tab-separated lines (``.idx``). Archives are
+    dealt to as many tasks as there are archives, whatever their listing weighs; a task reads
+    one in pieces of a megabyte and holds one record. Counts the archives, which runs a job.
     """
 
     def rewrite(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,7 +185,7 @@ def normalise(archives: DataFrame) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    return archives.repartition("path").mapInPandas(rewrite, INDEX)
+    return archives.repartitionByRange(max(1, archives.count()), "path").mapInPandas(rewrite, INDEX)
 
 
 def _page(uri: str | None) -> int | None:

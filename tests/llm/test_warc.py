@@ -3,8 +3,10 @@ import gzip
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from passagework.llm import warc
+from passagework.session import written
 
 PAGES = [
     (1, "http://a.example/x y\r\nz", "<p>one</p>"),
@@ -54,6 +56,14 @@ def test_members_and_index(pages, folder):
     assert [x.split("\t")[:2] for x in lines] == [[str(r["offset"]), str(r["length"])] for r in rows]
 
 
+def test_archives_are_rewritten_by_several_tasks(spark, folder):
+    pages = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "repeat(string(id), 50) AS html")
+    archives = written(warc.write_archives(warc.with_originals(pages).repartition(4), folder, archive_bytes=1000), "archives")
+    rows = warc.normalise(archives).withColumn("task", F.spark_partition_id()).select("path", "task").distinct().collect()
+    assert len(rows) == archives.count() > 8
+    assert len({r["task"] for r in rows}) > len(rows) / 2
+
+
 def test_cut_off_streams_are_told():
     import io
 
