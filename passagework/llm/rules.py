@@ -168,22 +168,32 @@ def _bins(measured: DataFrame, share: float, name: str) -> DataFrame:
 
 
 def _pools(stats: DataFrame) -> DataFrame:
-    """Vectors of the documents to judge, each with the pool that judges it and a salt."""
+    """Vectors of the documents to judge, each with the pool that judges it, all pools it is part of, and a salt.
+
+    A pool that stands in for small ones is estimated from every document of the language,
+    or of the table, not from those of the small ones alone.
+    """
     salt = F.pmod(F.xxhash64("doc_id", "text_key", "n_words"), F.lit(SALTS)).cast("int")
     vectors = stats.where(~F.col("base_failed")).select(
         "doc_id", "text_key", "lang", "source", salt.alias("salt"), *(F.expr(c).alias(n) for n, (c, _) in VECTOR.items())
     )
     sizes = written(_summed(vectors, ["lang", "source"], {"n": F.lit(1)}), "pools")
-    by_lang = sizes.groupBy("lang").agg(F.sum("n").alias("of_lang"))
-    named = sizes.join(
-        by_lang.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l"))
-    ).select(
-        F.col("lang").alias("l"),
+    by_lang = sizes.groupBy(F.col("lang").alias("l")).agg(F.sum("n").alias("of_lang"), F.min("n").alias("least"))
+    by_lang = written(by_lang, "pools")
+    use_all = by_lang.where(F.col("of_lang") < MIN_POOL).count() > 0  # a number from a row per language
+    own, of_lang = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
+    large, spoken = F.col("n") >= MIN_POOL, F.col("of_lang") >= MIN_POOL
+    named = sizes.join(by_lang, F.col("lang").eqNullSafe(F.col("l"))).select(
+        "l",
         F.col("source").alias("s"),
-        F.when(F.col("n") >= MIN_POOL, F.to_json(F.struct("lang", "source")))
-        .when(F.col("of_lang") >= MIN_POOL, F.to_json(F.struct("lang")))
-        .otherwise("all")
-        .alias("pool"),
+        F.when(large, own).when(spoken, of_lang).otherwise("all").alias("pool"),
+        F.array_compact(
+            F.array(
+                F.when(large, own),
+                F.when(spoken & (F.col("least") < MIN_POOL), of_lang),
+                F.when(F.lit(use_all), F.lit("all")),
+            )
+        ).alias("pools"),
     )
     named = _salted(written(named, "pools")).withColumnRenamed("salt", "t")
     return vectors.join(
@@ -252,13 +262,15 @@ def minimum_covariance(vectors: DataFrame, steps: int = STEPS, core: float = COR
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Statistics and verdict of every document; ``kept`` is false if it fails a rule.
 
-    One row per input row. Null language or source are groups of their own. Pools smaller
-    than ``MIN_POOL`` join their language, then all; an empty table gives no rows. ``outlier``
+    One row per input row. Null language or source are groups of their own. Documents of pools
+    smaller than ``MIN_POOL`` are judged by their whole language, or by the whole table where
+    that is small too; an empty table gives no rows. ``outlier``
     is the squared distance in proportion, null for documents that fail the base rules.
     """
     stats = written(text_statistics(docs, "doc_id", "lang", "source"), "statistics")
     vectors = written(_pools(stats), "vectors")
-    judged = _distance(_with(vectors, minimum_covariance(vectors))).select(
+    estimated = vectors.select(F.explode("pools").alias("pool"), "salt", *_P)
+    judged = _distance(_with(vectors, minimum_covariance(estimated))).select(
         F.col("doc_id").alias("d"), F.col("text_key").alias("k"), (F.col("d2") / F.col("scale")).alias("outlier"), F.col("pool")
     )
     # equal rows share their statistics and pool, so one verdict serves them all

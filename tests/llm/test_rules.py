@@ -1,6 +1,8 @@
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 from made_up import prose, vocabulary
 
@@ -50,6 +52,61 @@ def test_outliers_go_and_others_stay(judged):
     assert judged[2000]["kept"] and judged[2001]["kept"]
 
 
+def _judge(vectors, near):
+    """Robust distances read plainly: medians, concentration steps, scale by the median."""
+    names, floors = list(rules.VECTOR), np.array([f for _, f in rules.VECTOR.values()])
+    x = np.array([[v[n] for n in names] for v in vectors])
+    centre = np.median(x, axis=0)
+    spread = np.maximum(1.4826 * np.median(np.abs(x - centre), axis=0), floors)
+    factor = np.diag(spread)
+
+    def distance(rows):
+        return (np.linalg.solve(factor, (rows - centre).T) ** 2).sum(axis=0)
+
+    for _ in range(rules.STEPS):
+        d = np.floor(np.log(distance(x) + 1e-6) * 16)
+        core = x[d <= np.sort(d)[int(np.ceil(rules.CORE * len(d))) - 1]]
+        centre = core.mean(axis=0)
+        factor = np.linalg.cholesky(np.cov(core.T, bias=True) + np.diag(floors**2))
+    middle = np.sort(np.floor(np.log(distance(x) + 1e-6) * 16))[int(np.ceil(0.5 * len(x))) - 1]
+    scale = max(1.0, np.exp((middle + 0.5) / 16) / rules.CHI_MEDIAN)
+    return distance(np.array([[v[n] for n in names] for v in near])) / scale
+
+
+def _vector(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words):
+    return {
+        "size": math.log(n_words), "word": math.log(word_chars / n_words), "symbols": math.log1p(100 * n_symbols / word_chars),
+        "lines": math.log1p(20 * n_dup_lines / math.sqrt(n_words)), "repeats": math.log1p(20 * n_repeat_words / n_words),
+    }
+
+
+@pytest.mark.parametrize("rest", ["same", "other"])
+def test_rare_sources_are_judged_by_all_of_their_language(spark, rest):
+    """Junk of a rare source goes, its clean documents stay; distances as read plainly."""
+    draw, words = random.Random(7), vocabulary()
+    clean = lambda: prose(words, int(draw.lognormvariate(5, 0.6)) + 60, draw)
+    junk = lambda: " ".join(f"{w}###" for w in clean().split())
+    lang = {"same": "en", "other": "xx"}[rest]  # of a large language, or of one that is small as a whole
+    rows = [(i, clean(), "en", "large") for i in range(500)]
+    rows += [(1000 + i, junk(), lang, "rare") for i in range(3)] + [(2000 + i, clean(), lang, "rare") for i in range(3)]
+    rows += [(3000, clean(), None, None), (3001, junk(), None, "rare")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in rules.quality_rules(df).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert sorted(i for i, r in got.items() if not r["kept"]) == [1000, 1001, 1002, 3001]
+    vectors = {i: _vector(*statistics(t)[:5]) for i, t, *_ in rows}
+    large = [i for i in vectors if i < 1000]
+    spoken = [i for i, _, x, _ in rows if x == "en"]
+    by = {"own": (large, large), "all": (list(vectors), [3000, 3001])}
+    by["lang" if rest == "same" else "all"] = (
+        (spoken, [i for i in spoken if i >= 1000]) if rest == "same" else (list(vectors), [i for i in vectors if i >= 1000])
+    )
+    by.setdefault("all", (list(vectors), [3000, 3001]))
+    for of, judged in by.values():
+        want = _judge([vectors[i] for i in of], [vectors[i] for i in judged])
+        assert np.allclose([got[i]["outlier"] for i in judged], want, rtol=0.15, atol=0.3)
+
+
 def test_empty(empty):
     assert rules.quality_rules(empty).collect() == []
 
