@@ -12,6 +12,11 @@ theirs leftward, byte by byte: at distance a, suffixes are ordered by (class of
 bytes before the anchor, rank of the anchor's suffix), and their common prefix is a plus
 the least value between the two ranks. Two strings are equal when that reaches 400.
 
+A flag tells of shorter passages too: runs of ``GRAM`` words are sampled by winnowing, which
+picks at least one from any ``GRAM + SAMPLE - 1`` = 51 words in a row, and the same one
+wherever these stand. A document shares a passage if one of its sampled runs stands
+elsewhere too, or if it loses bytes. Nothing is removed by that.
+
 Before any bytes move, runs of consecutive strings with one anchor are compared by a
 digest: copies collapse to a count and one representative, so that a group of copies
 costs a row each. A group that still has more than ``GROUP`` different members is split
@@ -36,11 +41,12 @@ LENGTH = 400
 ANCHOR = 128
 BLOCK, SLICE = 16 << 20, 1 << 20
 GROUP, BATCH = 50_000, 20_000
+GRAM, SAMPLE = 40, 12
 _BASE = 0x9E3779B97F4A7C15
 RUNS = "block long, doc int, anchor long, digest long, at int, more int, before int, again int, packet binary"
 CONTEXTS = "block long, doc int, at int, anchor long, right binary, left binary"
 SPANS = "block long, doc int, at int, last int, digest binary"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, shares_passage boolean"
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,8 +148,54 @@ def _runs(codes: list[bytes], length: int, anchor: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["doc", "anchor", "digest", "at", "more", "before", "again"])
 
 
+def word_marks(codes: list[bytes], gram: int = GRAM, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """(text, mark) of the sampled runs of words: those least in hash among ``sample`` runs in a row."""
+    import xxhash
+
+    known: dict[bytes, int] = {}
+    split = [code.split() for code in codes]
+    sizes = np.array([len(x) for x in split])
+    n = int(sizes.sum())
+    if n < gram:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for words in split:
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w)
+    hashes = np.fromiter((known[w] for words in split for w in words), np.uint64, n)
+    up, down = _powers(n + 1)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)))
+    runs = _mixed((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
+    owner = np.repeat(np.arange(len(codes)), sizes)
+    inside = owner[gram - 1 :] == owner[: len(runs)]
+    top = np.iinfo(np.uint64).max
+    value = np.concatenate([np.where(inside, runs, top), np.full(sample - 1, top)])
+    least = value[: len(runs)].copy()
+    for k in range(1, sample):
+        least = np.minimum(least, value[k : k + len(runs)])
+    before = np.concatenate([np.zeros(sample - 1, np.uint64), least])
+    most = least.copy()
+    for k in range(sample - 1):
+        most = np.maximum(most, before[k : k + len(runs)])
+    chosen = np.flatnonzero((most == runs) & inside)
+    return owner[chosen], runs[chosen].view(np.int64)
+
+
+def _marks(codes: list[bytes]) -> pd.DataFrame:
+    """Marks of a block as rows like those of its runs, at -1; a few texts at a time."""
+    parts, start, size = [], 0, 0
+    for i, code in enumerate([*codes, None]):
+        if code is None or size > SLICE:
+            doc, mark = word_marks(codes[start:i])
+            parts.append(pd.DataFrame({"doc": doc + start, "anchor": mark}))
+            start, size = i, 0
+        size += len(code or b"")
+    made = pd.concat(parts, ignore_index=True)
+    return made.assign(digest=0, at=-1, more=0, before=0, again=0)
+
+
 def blocks(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """Blocks of documents (``packet``) and the runs of each."""
+    """Blocks of documents (``packet``), the runs of each, and marks of its words (at -1)."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
@@ -157,7 +209,7 @@ def blocks(docs: DataFrame, length: int, anchor: int) -> DataFrame:
             if not rows:
                 return
             ids, codes = map(list, zip(*rows, strict=True))
-            found = _runs(codes, length, anchor)
+            found = pd.concat([_runs(codes, length, anchor), _marks(codes)], ignore_index=True)
             found.insert(0, "block", number)
             found["packet"] = None
             for a in range(0, len(found), 50_000):
@@ -295,7 +347,8 @@ def repeated_starts(runs: DataFrame, packets: DataFrame, length: int) -> DataFra
     """(block, doc, at, last): starts of all strings that occur elsewhere too. Runs jobs."""
     counted = runs.withColumn("places", F.col("again") + 1)
     shared = counted.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1").select(F.col("anchor").alias("a"))
-    alike = written(counted.join(shared, F.col("anchor") == F.col("a"), "left_semi"), "alike")
+    # stored, so that the join can split an anchor that a large share of the rows has
+    alike = written(counted.join(written(shared, "anchors"), F.col("anchor") == F.col("a"), "left_semi"), "alike")
     where = F.struct("block", "doc", "at")
     kinds = written(
         alike.groupBy("anchor", "digest").agg(F.sum("places").alias("n"), F.min(where).alias("of")), "kinds"
@@ -341,18 +394,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     """Per row: bytes, removed bytes, removed spans and the digest of what is kept.
 
     Texts are whole UTF-8 texts (null: empty); strings don't cross documents, overlap counts, and
-    the same document counts as elsewhere. Runs jobs; texts move compressed, twice.
+    the same document counts as elsewhere. ``shares_passage`` is true for documents that lose
+    bytes, and for those with 51 words in a row that start elsewhere too; below 40 words it
+    never is by words alone. Runs jobs; texts move compressed, twice.
     """
     held = written(blocks(docs, length, anchor), "runs")
-    runs = held.where("packet IS NULL").drop("packet")
+    runs = held.where("packet IS NULL AND at >= 0").drop("packet")
     packets = held.where("packet IS NOT NULL").select(F.col("block").alias("of"), "packet")
     spans = repeated_starts(runs, packets, length)
+    marks = held.where("packet IS NULL AND at < 0").select("block", "doc", "anchor")
+    often = marks.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select(F.col("anchor").alias("a"))
+    alike = marks.join(written(often, "marks"), F.col("anchor") == F.col("a"), "left_semi").select("block", "doc").distinct()
+    flags = written(alike, "flags").select("block", "doc", F.lit(-1).alias("at"), F.lit(-1).alias("last"))
+    spans = spans.union(flags)
 
     def cut(held: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
         import zstandard
 
         out = []
-        by_doc = {d: (x["at"].to_numpy(), x["last"].to_numpy()) for d, x in spans.groupby("doc")}
+        flagged = set(spans["doc"][spans["at"] < 0])
+        by_doc = {d: (x["at"].to_numpy(), x["last"].to_numpy()) for d, x in spans[spans["at"] >= 0].groupby("doc")}
         for packet in held["packet"]:
             ids, codes = pickle.loads(zstandard.decompress(packet))
             for d, (doc_id, code) in enumerate(zip(ids, codes, strict=True)):
@@ -366,7 +427,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
                     kept = np.frombuffer(code, np.uint8)[~gone].tobytes()
                 else:
                     kept = code
-                out.append((doc_id, len(code), removed, spans_of, hashlib.sha256(kept).hexdigest()))
+                shares = removed > 0 or d in flagged
+                out.append((doc_id, len(code), removed, spans_of, hashlib.sha256(kept).hexdigest(), shares))
         made = pd.DataFrame(out, columns=[x.split()[0] for x in RESULT.split(", ")])
         made["doc_id"] = made["doc_id"].astype("Int64")
         return made
