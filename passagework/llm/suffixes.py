@@ -167,17 +167,16 @@ def word_marks(codes: list[bytes], gram: int = GRAM, sample: int = SAMPLE) -> tu
     sums = np.concatenate(([np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)))
     runs = _mixed((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
     owner = np.repeat(np.arange(len(codes)), sizes)
-    inside = owner[gram - 1 :] == owner[: len(runs)]
-    top = np.iinfo(np.uint64).max
-    value = np.concatenate([np.where(inside, runs, top), np.full(sample - 1, top)])
-    least = value[: len(runs)].copy()
+    # only windows of runs that lie within one text, so that its marks don't hang on its neighbours
+    windows = max(0, len(runs) - sample + 1)
+    within = owner[:windows] == owner[gram + sample - 2 :][:windows]
+    least = runs[:windows].copy()
     for k in range(1, sample):
-        least = np.minimum(least, value[k : k + len(runs)])
-    before = np.concatenate([np.zeros(sample - 1, np.uint64), least])
-    most = least.copy()
-    for k in range(sample - 1):
-        most = np.maximum(most, before[k : k + len(runs)])
-    chosen = np.flatnonzero((most == runs) & inside)
+        least = np.minimum(least, runs[k : k + windows])
+    chosen = np.zeros(len(runs), bool)
+    for k in range(sample):
+        chosen[k : k + windows] |= within & (runs[k : k + windows] == least)
+    chosen = np.flatnonzero(chosen)
     return owner[chosen], runs[chosen].view(np.int64)
 
 
