@@ -40,6 +40,17 @@ def doc_key(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text_key", F.xxhash64("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before each as it takes to be no column of ``df``."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in held:
+            name = f"_{name}"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def partitions(df: DataFrame) -> int:
     """The cluster's number of shuffle partitions, for salts and block counts."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passagework.llm.common import small_batches, texts
+from passagework.llm.common import small_batches, texts, unused
 from passagework.session import written
 
 BASE = ("email", "ip", "card", "phone")
@@ -264,10 +264,11 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     columns = docs.columns
     found = personal_spans(docs).where(F.size("found") > 0)
-    once = found.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(F.first("found").alias("_found"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    d, k, key, spans = unused(docs, "_d", "_k", "_key", "_found")
+    once = found.groupBy(F.col("doc_id").alias(d), F.col("text_key").alias(k)).agg(F.first("found").alias(spans))
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     # texts move once, to what was found, at every size
-    joined = keyed.join(written(once, "found").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
+    joined = keyed.join(written(once, "found").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(key) == F.col(k)), "left")
 
     @F.pandas_udf("string")
     def masked(text: pd.Series, spans: pd.Series) -> pd.Series:
@@ -284,7 +285,7 @@ def redact(docs: DataFrame) -> DataFrame:
             out.append("".join([*parts, t[at:]]))
         return pd.Series(out, dtype="object")
 
-    done = joined.withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(masked("text", "_found")))
+    done = joined.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(masked("text", spans)))
     if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("text")))
+        done = done.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text")))
     return done.select(*columns)

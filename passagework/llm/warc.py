@@ -25,6 +25,8 @@ from passagework.session import scratch_path, written
 ARCHIVE = 64 << 20
 CHUNK = 1 << 20
 SALTS = 16
+#: Records of a reading task.
+READ_RECORDS = 4096
 ARCHIVES = "path string, records long"
 INDEX = "path string, offset long, length long, record_type string, record_id string"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -227,7 +229,8 @@ def read_records(index: DataFrame) -> DataFrame:
         if file:
             file.close()
 
-    return index.repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInPandas(read, READ)
+    tasks = index.count() // READ_RECORDS + 1
+    return index.repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset").mapInPandas(read, READ)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = ARCHIVE) -> DataFrame:
