@@ -367,6 +367,9 @@ SELECT event_id, {', '.join(f"json_extract_string(body, '$.{f}') AS {f}" for f i
 FROM checked WHERE reason IS NULL""",
     "message_rejects": f"{_CHECKED} SELECT event_id, reason, md5(raw) AS body_md5 FROM checked "
     "WHERE reason IS NOT NULL",
+    "queue_messages": f"""{_CHECKED} SELECT md5(raw) AS body_md5, reason,
+       CASE WHEN reason IS NULL THEN json_extract_string(body, '$.document_id') END AS document_id,
+       CASE WHEN reason IS NULL THEN json_extract_string(body, '$.tenant') END AS tenant FROM checked""",
     "message_build": f"""{_LOCATED}
 SELECT CAST(to_json({{'document_id': document_id, 's3_bucket': 'raw', 's3_key': s3_key, 'tenant': ticker,
   'doc_type': '10-K', 'metadata': {{'company': title, 'accession': accession}}}}) AS VARCHAR) AS body FROM located""",

@@ -17,6 +17,7 @@ from passagework.plans.ingestion import (
 )
 from passagework.session import staged
 from passagework.sources.chunk_table import ChunkTable
+from passagework.sources.queue import read_queue
 
 NOT_FOUND = "document not found"
 
@@ -55,6 +56,24 @@ def message_topic(
     )
 
 
+def message_queue(spark: SparkSession, root: str, max_bytes_per_trigger: int, group: str = "default") -> DataFrame:
+    """One body per message of a queue (``sources.queue``).
+
+    Messages with one key are in order if their producers put them in one log. A bounded
+    batch is taken at a time: run it with ``continuous`` and end it with ``drain``.
+    """
+    found = read_queue(spark, root, max_bytes_per_trigger, group)
+    return found.select("body", F.struct("position", "log").alias("_order"))
+
+
+def drain(query: StreamingQuery) -> None:
+    """Wait until all that has arrived is done, in as many batches as it takes, then stop."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def ingest_batch(
     bodies: DataFrame,
     attach: Callable[[DataFrame], DataFrame],
@@ -101,7 +120,7 @@ def start_ingest(
 ) -> StreamingQuery:
     """Run ``ingest_batch`` per micro-batch, over all that has arrived or for ever.
 
-    ``bodies`` comes from ``message_files`` or ``message_topic``.
+    ``bodies`` comes from ``message_files``, ``message_topic`` or ``message_queue``.
 
     No state store is needed: the upsert is keyed, so a batch that is replayed
     after a failure leads to the same rows.
