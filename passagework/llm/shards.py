@@ -2,8 +2,10 @@
 
 Documents' ids (each with its end) are joined within blocks and cut into sequences of one
 length. A keyed Feistel network, walked until it falls below the number of sequences, is
-a bijection that gives every sequence a global slot: the order is as good as shuffled, is
-repeatable from the key, and any slot can be traced back. Ranges of slots are shards, in
+a bijection that gives every sequence a global slot: the order is as good as shuffled, and
+any slot can be traced back. Which documents share a sequence depends on the splits that
+tasks read: the order is that of the shards once written, which resuming reads, and a
+rewrite under other splits is another order. Ranges of slots are shards, in
 which sequence i of a shard starts at i times the stride, so reading is sequential and may
 resume anywhere.
 """
@@ -29,8 +31,11 @@ ROUNDS = 6
 KEY = 20
 ID = np.dtype("<u2")
 BLOCKS = "block long, part int, sequences long, tokens long, packet binary"
-PLACED = "slot long, shard long, ids binary"
-MANIFEST = "shard long, path string, first_slot long, sequences long, stride long"
+PLACED = "slot long, shard long, n_tokens int, ids binary"
+MANIFEST = (
+    "shard long, path string, first_slot long, sequences long, stride long, "
+    "short array<struct<slot: long, n_tokens: int>>"
+)
 READ = "slot long, shard long, offset long, n_tokens long, ids_crc32 long"
 
 
@@ -126,11 +131,13 @@ def write_shards(
                 raw = zstandard.decompress(row.packet)
                 raw += np.full(-len(raw) // ID.itemsize % seq_len, END_ID, ID).tobytes()
                 slots = feistel(np.arange(row.base, row.base + row.sequences), total, key)
+                sizes = np.full(row.sequences, seq_len)
+                sizes[-1] = row.tokens - (row.sequences - 1) * seq_len
                 for a in range(0, len(slots), 1024):
                     part = slots[a : a + 1024]
                     # sequences move compressed, each by itself
                     ids = [pack(raw[i * stride : (i + 1) * stride]) for i in range(a, a + len(part))]
-                    yield pd.DataFrame({"slot": part, "shard": part // per_shard, "ids": ids})
+                    yield pd.DataFrame({"slot": part, "shard": part // per_shard, "n_tokens": sizes[a : a + len(part)], "ids": ids})
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
@@ -142,31 +149,37 @@ def write_shards(
 
         def close() -> pd.DataFrame:
             out.close()
-            return pd.DataFrame([row], columns=[x.split()[0] for x in MANIFEST.split(", ")])
+            names = ["shard", "path", "first_slot", "sequences", "stride", "short"]
+            return pd.DataFrame([row], columns=names)
 
         for frame in frames:
-            for slot, shard, ids in zip(frame["slot"], frame["shard"], frame["ids"], strict=True):
+            columns = (frame[c] for c in ("slot", "shard", "n_tokens", "ids"))
+            for slot, shard, n_tokens, ids in zip(*columns, strict=True):
                 if shard != now:
                     if out:
                         yield close()
                     name = f"shard-{shard:08d}-{uuid.uuid4().hex}.bin"
                     out, now = fs.open_output_stream(f"{root}/{name}", compression=None, buffer_size=1 << 20), shard
-                    row = [shard, os.path.join(folder, name), slot, 0, stride]
+                    row = [shard, os.path.join(folder, name), slot, 0, stride, []]
                 out.write(unpack(ids))
                 row[3] += 1
+                if n_tokens < seq_len:  # at most one a block of texts
+                    row[5].append({"slot": slot, "n_tokens": n_tokens})
         if out:
             yield close()
 
-    placed = blocks.join(bases, F.col("block") == F.col("b")).select("base", "sequences", "packet")
-    shards = placed.mapInPandas(place, PLACED).repartition("shard").sortWithinPartitions("shard", "slot")
+    placed = blocks.join(bases, F.col("block") == F.col("b")).select("base", "sequences", "tokens", "packet")
+    # a task a shard, whatever their number
+    shards = placed.mapInPandas(place, PLACED).repartitionById(max(1, -(-total // per_shard)), F.col("shard").cast("int"))
+    shards = shards.sortWithinPartitions("shard", "slot")
     return written(shards.mapInPandas(write, MANIFEST), "manifest"), total
 
 
-def read_shards(manifest: DataFrame, first_slot: int = 0, end_id: int = END_ID) -> DataFrame:
+def read_shards(manifest: DataFrame, first_slot: int = 0) -> DataFrame:
     """A row per sequence from ``first_slot`` on, read in order of slots within each shard.
 
-    ``n_tokens`` leaves out what fills a sequence up (ends after its last end), ``ids_crc32``
-    is of all its ids as little-endian 16-bit numbers.
+    ``n_tokens`` leaves out what fills a sequence up, as the manifest tells; ``ids_crc32`` is of
+    all its ids as little-endian 16-bit numbers.
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,6 +188,7 @@ def read_shards(manifest: DataFrame, first_slot: int = 0, end_id: int = END_ID)
         for frame in frames:
             for row in frame.itertuples():
                 fs, path = shared_fs(row.path)
+                short = {x["slot"]: x["n_tokens"] for x in row.short}
                 skip = max(0, first_slot - row.first_slot)
                 if skip >= row.sequences:
                     continue
@@ -183,14 +197,13 @@ def read_shards(manifest: DataFrame, first_slot: int = 0, end_id: int = END_ID)
                         count = min(512, row.sequences - at)
                         raw = file.read_at(count * row.stride, at * row.stride)
                         ids = np.frombuffer(raw, ID).reshape(count, -1)
-                        other = ids[:, ::-1] != end_id
-                        filled = np.where(other.any(axis=1), other.argmax(axis=1), ids.shape[1])
+                        slots = row.first_slot + np.arange(at, at + count)
                         yield pd.DataFrame(
                             {
-                                "slot": row.first_slot + np.arange(at, at + count),
+                                "slot": slots,
                                 "shard": row.shard,
                                 "offset": np.arange(at, at + count) * row.stride,
-                                "n_tokens": np.minimum(ids.shape[1], ids.shape[1] - filled + 1),
+                                "n_tokens": [short.get(slot, ids.shape[1]) for slot in slots.tolist()],
                                 "ids_crc32": [crc32(x.tobytes()) for x in ids],
                             }
                         )

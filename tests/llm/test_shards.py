@@ -33,6 +33,8 @@ def test_round_trip(odd, odd_rows, folder):
     assert sorted(texts) == sorted(x for x in wanted if len(x) > 1)
     rows = shards.read_shards(manifest).collect()
     assert {r["slot"]: r["ids_crc32"] for r in rows} == {s: crc32(x.tobytes()) for s, x in held.items()}
+    assert sum(r["n_tokens"] for r in rows) == sum(map(len, wanted))  # ends of empty texts count
+    assert manifest.count() == -(-total // 100)
     resumed = shards.read_shards(manifest, 150).collect()
     assert sorted(r["slot"] for r in resumed) == list(range(150, total))
 
@@ -43,5 +45,10 @@ def test_every_slot_has_its_sequence(odd):
     assert all(r["offset"] == r["slot"] % 50 * 128 and r["shard"] == r["slot"] // 50 for r in rows)
 
 
+def test_counts_do_not_come_from_the_ids(table, folder):
+    manifest, _ = shards.write_shards(table([(1, "hello world"), (2, None), (3, "")]).coalesce(1), folder, 16)
+    assert [r["n_tokens"] for r in shards.read_shards(manifest).collect()] == [5]
+
+
 def test_empty(empty):
     assert shards.training_order(empty).collect() == []
