@@ -215,7 +215,8 @@ def read_queue(spark: SparkSession, root: str, max_bytes: int = 64 << 20, group:
     A batch holds at most ``max_bytes`` (one message a log at least), a task about
     ``task_bytes``. A line that isn't finished yet waits. Messages that are no UTF-8 come
     as ``base64:...``, which the check of messages refuses with its reason, so nothing is
-    lost. Queries of one ``group`` at a time.
+    lost. One query of a ``group`` at a time; one with a new checkpoint reads the group's last
+    batch again.
     """
     spark.dataSource.register(QueueSource)
     return (
