@@ -5,6 +5,10 @@ stored once. Each window of test words starts from its rarest term and the two t
 follow: their postings, shifted by the offset in the window, are the candidate
 starts, and the postings of the window's other terms at their shifted positions are
 intersected with those. Everything is DataFrame joins; no list of a term is gathered.
+
+Proximity matches forgive two edited words a window. Two edits leave one of three parts of
+a window whole, so the places where a part's first words stand are all candidates, and the
+words around such a place are compared with the window where they are read.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Not a word: stands after a document's last one and carries the number of its words.
 END = "\x00"
+#: Words of a window that may be changed, put in or left out in a proximity match.
+EDITS = 2
 _DOC = ["doc_id", "text_key"]
 
 
@@ -131,35 +137,132 @@ def matches(index: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def near_matches(docs: DataFrame, windows: DataFrame, window: int = WINDOW, edits: int = EDITS) -> DataFrame:
+    """(doc_id, text_key, start, size, win): where a window stands but for ``edits`` words at most.
+
+    At a place, all but ``edits`` words of the window stand at most ``edits`` words from where they
+    should, and the first three words of one of its ``edits + 1`` parts stand exactly there. Whatever
+    ``edits`` changes, insertions or deletions make of a window is found. Windows with parts of
+    fewer than three words have no proximity matches. Spans are cut at the document's ends.
+    """
+    parts = edits + 1
+    ordered = F.sort_array(F.collect_list(F.struct("off", "term")))  # at most ``window`` words
+    whole = (
+        windows.where(F.col("size") >= 3 * parts)
+        .groupBy("win")
+        .agg(F.transform(ordered, lambda x: x["term"]).alias("terms"))
+    )
+    firsts = F.array(*(F.floor(F.size("terms") * k / parts).cast("int") for k in range(parts)))
+    leads = whole.select("win", "terms", F.explode(firsts).alias("off")).select(
+        "win",
+        "terms",
+        "off",
+        F.get("terms", F.col("off")).alias("t"),
+        *(_neighbour(F.get("terms", F.col("off") + k)).alias(f"next{k}") for k in (1, 2)),
+    )
+    leads = written(leads, "leads")
+    words = with_once(
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text")),
+        "words",
+        letter_words(F.col("text")),
+    )
+    behind = window * edits // parts + edits
+    first = F.greatest(F.col("pos") - behind, F.lit(0))
+    tokens = words.select(*_DOC, F.posexplode("words").alias("pos", "word"), "words").select(
+        *_DOC,
+        "pos",
+        "word",
+        F.size("words").alias("n_words"),
+        *(_neighbour(F.get("words", F.col("pos") + k)).alias(f"near{k}") for k in (1, 2)),
+        # the words that a window around this one can reach, and where they begin
+        first.alias("first"),
+        F.slice("words", first + 1, behind + window + edits).alias("zone"),
+    )
+    met = tokens.join(
+        leads,
+        (F.col("word") == F.col("t")) & (F.col("near1") == F.col("next1")) & (F.col("near2") == F.col("next2")),
+    )
+    start, size = F.col("pos") - F.col("off"), F.size("terms")
+
+    def stands(term: Column, off: Column) -> Column:
+        low = start + off - edits - F.col("first")  # below zero only where the document begins
+        long = F.greatest(F.lit(0), F.least(F.lit(2 * edits + 1), low + 2 * edits + 1))
+        return F.array_contains(F.slice("zone", F.greatest(low, F.lit(0)) + 1, long), term)
+
+    led = F.lit(True)
+    for k in (1, 2):
+        led &= F.get("zone", F.col("pos") - F.col("first") + k) == F.get("terms", F.col("off") + k)
+    near = met.where(led).where(F.size(F.filter("terms", stands)) >= size - edits)
+    begin = F.greatest(start, F.lit(0))
+    return near.select(
+        *_DOC, begin.alias("start"), (F.least(start + size, F.col("n_words")) - begin).alias("size"), "win"
+    ).distinct()
+
+
+def _inside(found: DataFrame) -> DataFrame:
+    """(d, k, hit): a document's words inside the spans (start, size)."""
+    spans = found.groupBy(*_DOC, "start").agg(F.max("size").alias("size"))
+    before = Window.partitionBy(*_DOC).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.coalesce(F.max(F.col("start") + F.col("size")).over(before), F.lit(0))
+    fresh = F.greatest(F.lit(0), F.col("start") + F.col("size") - F.greatest("start", ends))
+    return (
+        spans.withColumn("fresh", fresh)
+        .groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
+        .agg(F.sum("fresh").alias("hit"))
+    )
+
+
+def _held(found: DataFrame, holds: DataFrame) -> DataFrame:
+    """(doc_id, text_key, item_id), repeated: the items whose windows stand in a document."""
+    return (
+        found.select(*_DOC, "win").distinct()
+        .join(holds.withColumnRenamed("win", "w"), F.col("win") == F.col("w"))
+        .select(*_DOC, F.col("item_id").cast("string").alias("item_id"))
+    )
+
+
+def _with_near(judged: DataFrame, near: DataFrame, holds: DataFrame) -> DataFrame:
+    """Add ``n_near`` and ``n_near_items`` from (doc_id, text_key, start, size, win)."""
+    hits = _inside(near)
+    items = (
+        _held(near, holds)
+        .groupBy(F.col("doc_id").alias("d2"), F.col("text_key").alias("k2"))
+        .agg(F.countDistinct("item_id").alias("items"))
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
+    also = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("text_key") == F.col("k2"))
+    return judged.join(hits, same, "left").join(items, also, "left").select(
+        *judged.columns,
+        F.coalesce("hit", F.lit(0)).cast("long").alias("n_near"),
+        F.coalesce("items", F.lit(0)).cast("long").alias("n_near_items"),
+    )
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, proximity: bool = False
+) -> DataFrame:
     """Per document: n_words, n_hit (words inside any test window), n_items, items_sha256, contaminated.
 
     One row per input row. Repeated rows are told apart from others by ``doc_id`` and text and
-    share their result. Without test items every document is clean.
+    share their result. Without test items every document is clean. With ``proximity`` also
+    ``n_near`` and ``n_near_items``: words inside exact or proximity matches, and items that have
+    any; they don't change ``contaminated``.
     """
     windows, holds = test_windows(benchmark, window)
     terms = written(windows.select("term").distinct().union(windows.sparkSession.sql(f"SELECT '{END}' AS term")), "terms")
     index = written(postings(docs, terms), "postings")
     found = written(matches(index, windows), "matches")
-    spans = found.groupBy(*_DOC, "start").agg(F.max("size").alias("size"))
-    before = Window.partitionBy(*_DOC).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    ends = F.coalesce(F.max(F.col("start") + F.col("size")).over(before), F.lit(0))
-    fresh = F.greatest(F.lit(0), F.col("start") + F.col("size") - F.greatest("start", ends))
-    hits = spans.withColumn("fresh", fresh).groupBy(*_DOC).agg(F.sum("fresh").alias("hit"))
+    hits = _inside(found)
     items = (
-        found.select(*_DOC, "win").distinct()
-        .join(holds.withColumnRenamed("win", "w"), F.col("win") == F.col("w"))
-        .groupBy(*_DOC)
-        .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+        _held(found, holds).groupBy(*_DOC).agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
-    hits = hits.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "hit")
     items = items.select(F.col("doc_id").alias("d2"), F.col("text_key").alias("k2"), "items")
     all_docs = index.where(F.col("term") == END).select(*_DOC, F.col("pos").cast("long").alias("n_words"))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
     also = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("text_key") == F.col("k2"))
     n_hit = F.coalesce("hit", F.lit(0)).cast("long")
     names = F.coalesce("items", F.array().cast("array<string>"))
-    return all_docs.join(hits, same, "left").join(items, also, "left").select(
+    judged = all_docs.join(hits, same, "left").join(items, also, "left").select(
         *_DOC,
         "n_words",
         n_hit.alias("n_hit"),
@@ -167,3 +270,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+    if not proximity:
+        return judged
+    near = written(near_matches(docs, windows, window), "near")
+    either = near.unionByName(found.select(near.columns))
+    return _with_near(judged, either, holds)

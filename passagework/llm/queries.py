@@ -47,7 +47,7 @@ def op4_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_positional_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents, benchmark = (_table(spark, folder, x) for x in ("documents", "benchmark"))
-    return decontaminate.decontaminate(documents, benchmark).drop("text_key")
+    return decontaminate.decontaminate(documents, benchmark, proximity=True).drop("text_key")
 
 
 def op6_training_order_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,11 +124,28 @@ hits AS (SELECT doc_id, i, n, item_id FROM places JOIN win USING (t)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
   FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id),
+leads AS (
+  SELECT item_id, t, off, t[off + 1] AS a, t[off + 2] AS b, t[off + 3] AS c
+  FROM (SELECT item_id, t, unnest([0, len(t) // 3, 2 * len(t) // 3]) AS off FROM win WHERE len(t) >= 9)),
+words AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM d),
+threes AS (
+  SELECT doc_id, i, word AS a, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c
+  FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+met AS (SELECT DISTINCT doc_id, item_id, t, i - off AS i FROM threes JOIN leads USING (a, b, c)),
+near AS (
+  SELECT doc_id, item_id, greatest(i, 1) AS first, least(i + len(t), len(w) + 1) AS past
+  FROM met JOIN d USING (doc_id)
+  WHERE len(list_filter(range(0, len(t)), lambda o: list_contains(list_slice(w, greatest(i + o - 2, 1), greatest(i + o + 2, 0)), t[o + 1]))) >= len(t) - 2
+  UNION ALL SELECT doc_id, item_id, i, i + n FROM hits),
+near_hit AS (SELECT doc_id, count(DISTINCT p) AS n_near
+  FROM (SELECT DISTINCT doc_id, unnest(range(first, past)) AS p FROM near) GROUP BY doc_id),
+near_items AS (SELECT doc_id, count(DISTINCT item_id) AS n_near_items FROM near GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AS contaminated
+  coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near, coalesce(n_near_items, 0) AS n_near_items
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+LEFT JOIN near_hit USING (doc_id) LEFT JOIN near_items USING (doc_id)
 """,
     "op11_phrase_collocations": rf"""
 WITH pieces AS (
