@@ -80,6 +80,11 @@ chunk AS (SELECT document_id || ':' || page_number || ':' || (row_number() OVER
           FROM cut WHERE text <> '' WINDOW w AS (PARTITION BY document_id, page_number ORDER BY s))"""
 
 
+_SECTION_ROWS = f"""WITH RECURSIVE {_sections(_FILINGS)}
+SELECT document_id, tenant, doc_type, CAST(page_number AS BIGINT) AS page_number,
+       CAST(len(text) AS BIGINT) AS n_chars, md5(text) AS text_md5
+FROM section JOIN src USING (document_id)"""
+
 _CHUNK_ROWS = f"""WITH RECURSIVE {_chunks(_FILINGS)}
 SELECT chunk_id, tenant, doc_type, CAST(page_number AS BIGINT) AS page_number,
        CAST(chunk_index AS BIGINT) AS chunk_index, CAST(token_count AS BIGINT) AS token_count,
@@ -339,10 +344,8 @@ FROM (SELECT doc_id, list_transform({_lines('text')}, lambda l: len(regexp_extra
     ),
     "html_text": _HTML_LINES,
     "html_text_parser": _HTML_LINES,
-    "sections": f"""WITH RECURSIVE {_sections(_FILINGS)}
-SELECT document_id, tenant, doc_type, CAST(page_number AS BIGINT) AS page_number,
-       CAST(len(text) AS BIGINT) AS n_chars, md5(text) AS text_md5
-FROM section JOIN src USING (document_id)""",
+    "sections": _SECTION_ROWS,
+    "long_sections_by_pieces": _SECTION_ROWS,
     "section_stats": f"""WITH RECURSIVE {_sections(_FILINGS)}
 SELECT tenant, doc_type, count(*) AS n_sections, CAST(sum(n_lines) AS BIGINT) AS n_lines,
        CAST(max(page_number) AS BIGINT) AS most_sections
