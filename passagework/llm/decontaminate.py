@@ -13,6 +13,8 @@ words around such a place are compared with the window where they are read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ WINDOW = 10
 END = "\x00"
 #: Words of a window that may be changed, put in or left out in a proximity match.
 EDITS = 2
+#: Bytes of leads that are broadcast at a time; more take further passes over the documents.
+LEAD_BYTES = 32 << 20
 _DOC = ["doc_id", "text_key"]
 
 
@@ -144,6 +148,9 @@ def near_matches(docs: DataFrame, windows: DataFrame, window: int = WINDOW, edit
     should, and the first three words of one of its ``edits + 1`` parts stand exactly there. Whatever
     ``edits`` changes, insertions or deletions make of a window is found. Windows with parts of
     fewer than three words have no proximity matches. Spans are cut at the document's ends.
+
+    The words around a token never leave the task that reads it: leads are broadcast instead, in
+    parts of at most about ``LEAD_BYTES``, and documents are read once for each part.
     """
     parts = edits + 1
     ordered = F.sort_array(F.collect_list(F.struct("off", "term")))  # at most ``window`` words
@@ -178,10 +185,8 @@ def near_matches(docs: DataFrame, windows: DataFrame, window: int = WINDOW, edit
         first.alias("first"),
         F.slice("words", first + 1, behind + window + edits).alias("zone"),
     )
-    met = tokens.join(
-        leads,
-        (F.col("word") == F.col("t")) & (F.col("near1") == F.col("next1")) & (F.col("near2") == F.col("next2")),
-    )
+    rows, chars = leads.agg(F.count("*"), F.sum(F.octet_length(F.array_join("terms", " ")))).first()
+    passes = 1 + ((chars or 0) + 200 * rows) // LEAD_BYTES
     start, size = F.col("pos") - F.col("off"), F.size("terms")
 
     def stands(term: Column, off: Column) -> Column:
@@ -192,11 +197,21 @@ def near_matches(docs: DataFrame, windows: DataFrame, window: int = WINDOW, edit
     led = F.lit(True)
     for k in (1, 2):
         led &= F.get("zone", F.col("pos") - F.col("first") + k) == F.get("terms", F.col("off") + k)
-    near = met.where(led).where(F.size(F.filter("terms", stands)) >= size - edits)
     begin = F.greatest(start, F.lit(0))
-    return near.select(
-        *_DOC, begin.alias("start"), (F.least(start + size, F.col("n_words")) - begin).alias("size"), "win"
-    ).distinct()
+    found = []
+    for k in range(passes):
+        part = leads.where(F.pmod(F.xxhash64("win"), F.lit(passes)) == k)
+        met = tokens.join(
+            F.broadcast(part),
+            (F.col("word") == F.col("t")) & (F.col("near1") == F.col("next1")) & (F.col("near2") == F.col("next2")),
+        )
+        near = met.where(led).where(F.size(F.filter("terms", stands)) >= size - edits)
+        found.append(
+            near.select(
+                *_DOC, begin.alias("start"), (F.least(start + size, F.col("n_words")) - begin).alias("size"), "win"
+            )
+        )
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def _inside(found: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from passagework.llm import decontaminate as decontaminate_module
 from passagework.llm.decontaminate import decontaminate
 
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -98,8 +99,9 @@ def edited(draw, text, few):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("window", [9, 10, 13])
-def test_proximity(spark, table, window):
+@pytest.mark.parametrize("window, lead_bytes", [(9, 1 << 25), (10, 20_000), (13, 1 << 25)])
+def test_proximity(spark, table, monkeypatch, window, lead_bytes):
+    monkeypatch.setattr(decontaminate_module, "LEAD_BYTES", lead_bytes)
     draw = random.Random(window)
     few = ["The", "a", "É", "x1", "of", "cat", "dog", "tree", "one", "two"]
     many = few + [f"w{i}" for i in range(30)]
