@@ -22,8 +22,8 @@ from passagework.operators.parse import SECTION_TARGET_TOKENS, cut_sections, sec
 from passagework.session import written
 
 #: Lines of a piece, and pieces (or groups of them) of a group in the tree.
-PIECE_LINES = 1024
-FAN = 64
+PIECE_LINES = 128
+FAN = 16
 _ID = "document_id"
 
 
@@ -74,7 +74,7 @@ def _piece_map(counts: np.ndarray, target: int) -> tuple[np.ndarray, np.ndarray]
 def _maps(counts: Column, target: int) -> Column:
     """struct(tokens, closed) of arrays, by the tokens before the piece. Only counts cross to Python."""
 
-    @F.pandas_udf("tokens array<int>, closed array<long>")
+    @F.pandas_udf("tokens array<int>, closed array<int>")
     def mapped(pieces: pd.Series) -> pd.DataFrame:
         found = [_piece_map(np.asarray(p, dtype=np.int64), target) for p in pieces]
         return pd.DataFrame({"tokens": [t for t, _ in found], "closed": [c for _, c in found]})
@@ -100,7 +100,7 @@ def _begun(maps: Column, tokens: Column, closed: Column) -> Column:
     start = F.struct(
         tokens.alias("tokens"),
         closed.alias("closed"),
-        F.array().cast("array<struct<no:long,tokens:int,closed:long>>").alias("out"),
+        F.array().cast("array<struct<no:long,tokens:int,closed:int>>").alias("out"),
     )
 
     def step(acc: Column, m: Column) -> Column:
@@ -121,26 +121,27 @@ def piece_starts(maps: DataFrame) -> DataFrame:
     tree is a job over rows that are ``FAN`` times fewer, up to one row per document.
     """
     last = maps.agg(F.max("no")).first()[0] or 0  # one number
-    levels = []
-    while True:
-        grouped = maps.groupBy(_ID, F.expr(f"no div {FAN}").alias("group")).agg(
-            F.sort_array(F.collect_list(F.struct("no", "map"))).alias("maps")  # at most FAN
-        )
-        levels.append(written(grouped, "maps"))
-        last //= FAN
-        if not last:
-            break
-        maps = levels[-1].select(_ID, F.col("group").alias("no"), _composed(F.col("maps")).alias("map"))
-    zero = F.lit(0).cast("long")
-    begun = levels.pop().select(_ID, F.explode(_begun(F.col("maps"), F.lit(0), zero)).alias("b")).select(_ID, "b.*")
+    levels = [maps]
+    while last := last // FAN:
+        up = _groups(levels[-1]).select(_ID, F.col("group").alias("no"), _composed(F.col("maps")).alias("map"))
+        levels.append(written(up, "maps"))
+    top = _begun(F.col("maps"), F.lit(0), F.lit(0))
+    begun = _groups(levels.pop()).select(_ID, F.explode(top).alias("b")).select(_ID, "b.*")
     while levels:
         above = begun.withColumnsRenamed({_ID: "d", "no": "g"})
-        met = levels.pop().join(above, F.col(_ID).eqNullSafe(F.col("d")) & (F.col("group") == F.col("g")))
+        met = _groups(levels.pop()).join(above, F.col(_ID).eqNullSafe(F.col("d")) & (F.col("group") == F.col("g")))
         found = _begun(F.col("maps"), F.col("tokens"), F.col("closed"))
         begun = met.select(_ID, F.explode(found).alias("b")).select(_ID, "b.*")
     return begun
 
 
+def _groups(maps: DataFrame) -> DataFrame:
+    """Maps of ``FAN`` consecutive pieces in a row; such rows are never stored, readers batch thousands."""
+    return maps.groupBy(_ID, F.expr(f"no div {FAN}").alias("group")).agg(
+        F.sort_array(F.collect_list(F.struct("no", "map"))).alias("maps")
+    )
+
+
 def long_sections(
     lines: DataFrame,
     target_tokens: int = SECTION_TARGET_TOKENS,
