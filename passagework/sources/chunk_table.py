@@ -13,7 +13,7 @@ from __future__ import annotations
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,9 +135,11 @@ class ChunkTable:
         anything is appended. The same batch may be replayed: it leads to the same rows.
         """
         vector = require_searchable(F.col("embedding"), self.dim, F.col("chunk_id"))
-        # computed once: the plan below reads the batch more than once
-        with staged(chunks.withColumn("embedding", vector)) as batch:
-            received = batch.count()
+        counted = Observation("received")
+        checked = chunks.withColumn("embedding", vector).observe(counted, F.count(F.lit(1)).alias("n"))
+        # computed once: the plan below reads the batch more than once; counted as it is written
+        with staged(checked) as batch:
+            received = counted.get.get("n", 0)
             if received:
                 self._add_columns(batch.drop(seq))
                 self._append(fold_batch(batch, "chunk_id", seq), self._next_version())
