@@ -1,8 +1,10 @@
 """Near-duplicate stage on word shingles.
 
-At five words and a similarity (Jaccard) of 0.8, SimHash fingerprints of whole texts differ in
-ten bits on average, which no table of them finds at scale, and repeats decide their bits. So
-texts meet by fingerprints of *samples*: each of ``TABLES`` keys hashes the minimum shingles under
+Texts meet by SimHash first: fingerprints of their shingle sets within three bits, found and
+discarded by the pivot tables of ``simhash``, then verified exactly. That connects the copies
+that are nearly equal. At five words and a similarity (Jaccard) of 0.8, fingerprints differ in
+ten bits on average, which no table of them finds at scale. So the others, beside SimHash and
+not in its place, meet by fingerprints of *samples*: each of ``TABLES`` keys hashes the minimum shingles under
 four random orders, which a similar pair shares in any one table with probability 0.8^4. Among
 those that meet, each text's nearest by samples are verified exactly on their shingle sets, which
 connects most copies. Then every pair that meets, is not connected yet and agrees in enough
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from passagework.llm.common import small_batches, unused
 from passagework.llm.graph import components
-from passagework.llm.simhash import SEED, shingle_hashes
+from passagework.llm.simhash import SEED, links, majority, shingle_hashes
 from passagework.session import written
 
 WORDS = 5
@@ -31,7 +33,7 @@ CHUNK = 1024
 GROUP = ["table", "key", "low", "high"]
 #: Nearest others that a text starts with, and the least share of equal samples of any pair.
 NEAREST, LEAST = 3, 0.6
-SKETCH = "doc_id long, digest binary, signature binary, keys array<long>, shingles array<int>"
+SKETCH = "doc_id long, digest binary, fingerprint long, signature binary, keys array<long>, shingles array<int>"
 
 
 def _orders() -> np.ndarray:
@@ -48,7 +50,7 @@ def _signature(hashes: np.ndarray, orders: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Digest, signature, table keys and shingle set of every whole text."""
+    """Digest, SimHash fingerprint of the shingle set, signature, table keys and shingle set of every whole text."""
     from functools import partial
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,6 +59,7 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
         orders, key = _orders(), partial(xxh64_intdigest, seed=SEED)
         for frame in small_batches(frames, "text", 1_500_000):
             hashes = [shingle_hashes(t, words) for t in frame["text"]]
+            marks = majority([np.unique(h) for h in hashes])  # distinct ones: no repeat decides a bit
             signatures, keys, sets = [], [], []
             for h in hashes:
                 signature = _signature(h, orders)
@@ -70,6 +73,7 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 {
                     "doc_id": frame["doc_id"].astype("Int64"),
                     "digest": frame["digest"],
+                    "fingerprint": marks.view(np.int64),
                     "signature": signatures,
                     "keys": keys,
                     "shingles": sets,
@@ -166,6 +170,22 @@ def _by_group(rows: DataFrame, function: Callable[[pd.DataFrame], list[tuple]],
     return rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(walk, schema)
 
 
+def simhash_pairs(sketched: DataFrame) -> DataFrame:
+    """(a, b): pairs of digests whose SimHash fingerprints link; runs jobs.
+
+    A fingerprint is stood for by its least digest, with which all others of it are paired.
+    Blank texts have no fingerprint.
+    """
+    marks = sketched.where(F.size("shingles") > 0).select("digest", "fingerprint").distinct()
+    least = written(marks.groupBy("fingerprint").agg(F.min("digest").alias("least")), "marks")
+    linked = links(least.select("fingerprint")).where("a <> b")
+    ends = {x: least.select(F.col("fingerprint").alias(f"f{x}"), F.col("least").alias(f"l{x}")) for x in "ab"}
+    across = linked.join(ends["a"], F.col("a") == F.col("fa")).join(ends["b"], F.col("b") == F.col("fb"))
+    within = marks.join(ends["a"], F.col("fingerprint") == F.col("fa")).where("digest <> la")
+    found = across.select("la", "lb").union(within.select("la", "digest"))
+    return found.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
+
+
 def meetings(sketched: DataFrame) -> DataFrame:
     """(digest, signature, table, key, block, blocks) of the texts that meet another in a table.
 
@@ -238,11 +258,12 @@ def duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARI
 
     Texts are linked if equal, or if their sets of shingles have at least this similarity. Of
     each component the smallest ``doc_id`` stays (null counts as largest). Blank texts have no
-    shingles and are linked only if equal. Runs jobs.
+    shingles and are linked only if equal. SimHash links and the nearest by samples are verified
+    first, then what else meets. Runs jobs.
     """
     sketched = written(sketches(docs, words), "sketches")
     met = written(meetings(sketched), "meetings")
-    pairs = written(proposals(met), "proposals")
+    pairs = written(simhash_pairs(sketched).union(proposals(met)).distinct(), "proposals")
     sets = sketched.select(F.col("digest").alias("d"), "shingles")
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted")
     sets = written(

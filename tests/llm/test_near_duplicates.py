@@ -16,6 +16,17 @@ def test_a_repeated_phrase_hides_no_copy(table):
     assert _kept(table, rows) == [1]
 
 
+def test_simhash_alone_connects_near_copies(table, monkeypatch):
+    """Without any table of samples, copies within three bits are found, and verified, by SimHash."""
+    monkeypatch.setattr(near_duplicates, "proposals", lambda met: met.selectExpr("digest AS a", "digest AS b").limit(0))
+    monkeypatch.setattr(near_duplicates, "bridges", lambda met, *_: met.selectExpr("digest AS a", "digest AS b").limit(0))
+    draw = random.Random(5)
+    texts = [prose(vocabulary(3000), 8000, draw).split() for _ in range(4)]
+    rows = [(10 * i + k, " ".join(_changed(t, [4500] * k, draw))) for i, t in enumerate(texts) for k in range(2)]
+    rows += [(50, ""), (51, " "), (52, None)]
+    assert _kept(table, rows) == [0, 10, 20, 30, 50, 51]
+
+
 def _changed(words, at, draw):
     out = list(words)
     for i in at:
