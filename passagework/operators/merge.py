@@ -50,6 +50,14 @@ def fold_batch(
     return latest.select(*(c for c in batch.columns if c != seq))
 
 
+def fold_single(batch: DataFrame, seq: str = "seq", map_columns: Sequence[str] = ("metadata",)) -> DataFrame:
+    """What ``fold_batch`` makes of records whose keys come once; narrow."""
+    filled = {
+        c: F.coalesce(F.col(c), F.create_map().cast(batch.schema[c].dataType)) for c in map_columns if c in batch.columns
+    }
+    return batch.withColumns(filled).drop(seq)
+
+
 def _merge_maps(old: Column, new: Column) -> Column:
     kept = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))
     return F.when(old.isNull(), new).otherwise(F.map_concat(kept, new))

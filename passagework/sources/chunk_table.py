@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passagework.functions.vectors import require_searchable
-from passagework.operators.merge import fold_batch
+from passagework.operators.merge import fold_batch, fold_single
 from passagework.schemas import CHUNK_SCHEMA
-from passagework.session import staged
+from passagework.session import staged, written
 
 VERSION, CARRIED = "_version", "_carried"
 _OWN = (VERSION, CARRIED)
+#: Records for each repeated key from which on the repeated ones are treated apart.
+_FEW = 10
 
 
 def _last(column: str) -> Column:
@@ -48,6 +50,21 @@ def _merged_maps(column: str) -> Column:
     return F.when(F.count(told) > 0, merged).alias(column)
 
 
+def _apart(rows: DataFrame, repeated: DataFrame, records: int, alone, together) -> DataFrame:
+    """``together`` of the rows whose ``chunk_id`` is in ``repeated``, ``alone`` of all others.
+
+    ``repeated`` is stored, so its size is known when the plan is made: as long as it is small,
+    only its rows are shuffled. Where many keys repeat, all rows go one way.
+    """
+    many = repeated.count()
+    if not many:
+        return alone(rows)
+    if many * _FEW > records:
+        return together(rows)
+    same = F.col("chunk_id").eqNullSafe(F.col("_again"))
+    return alone(rows.join(repeated, same, "left_anti")).unionByName(together(rows.join(repeated, same, "left_semi")))
+
+
 class ChunkTable:
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
@@ -92,8 +109,16 @@ class ChunkTable:
             return rows.where(F.col(VERSION) == base).select(columns)
         maps = [c for c in columns if isinstance(rows.schema[c].dataType, T.MapType)]
         values = [_merged_maps(c) if c in maps else _last(c) for c in columns if c != "chunk_id"]
+
+        def resolved(records: DataFrame) -> DataFrame:
+            return records.groupBy("chunk_id").agg(*values).select(columns)
+
         if not base:
-            return newer.groupBy("chunk_id").agg(*values).select(columns)
+            # what is told now of the keys holds for these versions
+            seen = [row[0] for row in newer.select(VERSION).distinct().collect()]  # one row per upsert
+            known = newer.where(F.col(VERSION).isin(seen))
+            again = known.groupBy(F.col("chunk_id").alias("_again")).count().where("count > 1").select("_again")
+            return _apart(known, written(again, "again"), known.count(), lambda r: r.select(columns), resolved)
         # only keys that newer versions hold are put together anew
         stored = rows.where(F.col(VERSION) == base)
         changed = newer.select(F.col("chunk_id").alias("_key")).distinct()
@@ -102,7 +127,7 @@ class ChunkTable:
         return (
             stored.join(changed, same, "left_anti")
             .select(columns)
-            .unionByName(touched.groupBy("chunk_id").agg(*values).select(columns))
+            .unionByName(resolved(touched))
         )
 
     def _add_columns(self, batch: DataFrame) -> None:
@@ -120,29 +145,41 @@ class ChunkTable:
             F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema if f.name not in (*rows.columns, *_OWN)
         ]
         full = rows.select("*", *missing, carried.alias(CARRIED), F.lit(version).alias(VERSION))
-        full.select(target.columns).hint("rebalance").sortWithinPartitions("tenant", "chunk_id").write.insertInto(self.name)
+        full.select(target.columns).sortWithinPartitions("tenant", "chunk_id").write.insertInto(self.name)
 
     def _next_version(self) -> int:
         """Later than all before it; the clock orders writers that don't see each other."""
         last = self.spark.table(self.name).agg(F.max(VERSION)).first()[0]
         return max((last or 0) + 1, time.time_ns() // 1000)
 
-    def upsert(self, chunks: DataFrame, seq: str = "seq") -> int:
+    def upsert(self, chunks: DataFrame, seq: str = "seq", distinct: bool = False) -> int:
         """Upsert by ``chunk_id`` and return the number of records received.
 
         ``chunks`` carries the key, ``tenant``, an ``embedding`` and any further columns; ``seq``
         orders records of one key. A missing or misshapen vector fails the call before
         anything is appended. The same batch may be replayed: it leads to the same rows.
+        ``distinct`` says that no key comes twice or is NULL: records are then appended as they come.
         """
         vector = require_searchable(F.col("embedding"), self.dim, F.col("chunk_id"))
         counted = Observation("received")
         checked = chunks.withColumn("embedding", vector).observe(counted, F.count(F.lit(1)).alias("n"))
+        if distinct:
+            self._add_columns(checked.drop(seq))
+            # a failed write leaves no file: its tasks' files are moved into the table when all are done
+            self._append(fold_single(checked, seq), self._next_version())
+            return counted.get.get("n", 0)
         # computed once: the plan below reads the batch more than once; counted as it is written
         with staged(checked) as batch:
             received = counted.get.get("n", 0)
             if received:
                 self._add_columns(batch.drop(seq))
-                self._append(fold_batch(batch, "chunk_id", seq), self._next_version())
+                keys = batch.groupBy(F.col("chunk_id").alias("_again")).agg(F.count(F.lit(1)).alias("n"), F.count(seq).alias("told"))
+                again = keys.where("n > 1 OR told < n OR _again IS NULL").select("_again")
+                with staged(again) as repeated:
+                    folded = _apart(
+                        batch, repeated, received, lambda r: fold_single(r, seq), lambda r: fold_batch(r, "chunk_id", seq)
+                    )
+                    self._append(folded, self._next_version())
         return received
 
     def compact(self) -> None:

@@ -43,6 +43,7 @@ def store_files(objects: DataFrame, root: str) -> int:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _file_system(root)
+        made = set()
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("s3_bucket", "s3_key", "content"))
             done = 0
@@ -50,7 +51,10 @@ def store_files(objects: DataFrame, root: str) -> int:
                 if content is None:
                     continue
                 path = f"{base.rstrip('/')}/{bucket}/{key}"
-                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                below = path.rsplit("/", 1)[0]
+                if below not in made:
+                    store.create_dir(below, recursive=True)
+                    made.add(below)
                 with store.open_output_stream(path, compression=None) as stream:
                     stream.write(content)
                 done += 1

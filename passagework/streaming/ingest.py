@@ -90,8 +90,9 @@ def ingest_batch(
     """
     checked = check_messages(bodies)
     valid = checked.where(F.col("reason").isNull()).drop("reason")
-    # the documents are opened once, then read for the chunks and for the rejects
-    with staged(attach(valid)) as loaded:
+    # few files of short messages name many documents: messages are spread before those are opened.
+    # The documents are opened once, then read for the chunks and for the rejects
+    with staged(attach(balanced(valid, "seq"))) as loaded:
         refused = checked.where(F.col("reason").isNotNull()).select("body", "reason")
         absent = loaded.where(F.col("content").isNull()).select(
             "body", F.lit(NOT_FOUND).alias("reason")
@@ -103,7 +104,9 @@ def ingest_batch(
             ),
             "seq",
         )
-        return table.upsert(documents_to_embedded_chunks(documents, settings, load))
+        # a chunk's key ends in its two numbers, so only a document that came twice repeats keys
+        twice = loaded.groupBy("document_id").count().where("count > 1")
+        return table.upsert(documents_to_embedded_chunks(documents, settings, load), distinct=twice.isEmpty())
 
 
 def start_ingest(
