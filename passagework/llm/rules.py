@@ -3,8 +3,10 @@
 Documents that pass the plain rules are compared with others of their language and
 source: statistics are transformed to a vector, location and scatter are estimated by
 the minimum covariance determinant, and documents whose Mahalanobis distance is too
-large are rejected. Everything is DataFrame expressions; groups are summed from salted
-parts, so that a source with a third of all rows is spread over many tasks.
+large are rejected. Everything is DataFrame expressions; rows meet their pool's estimate
+by (pool, salt), and sums combine before they are shuffled, so that a source with a third of
+all rows is spread over many tasks. Each concentration step is one query: plans, exchanges and
+their threads, not rows, are what the driver's memory goes to.
 """
 
 from __future__ import annotations
@@ -117,12 +119,6 @@ def _salted(params: DataFrame) -> DataFrame:
     return params.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def _summed(df: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Sums by ``keys``, first within salts."""
-    parts = df.groupBy(*keys, "salt").agg(*(F.sum(c).alias(n) for n, c in sums.items()))
-    return parts.groupBy(*keys).agg(*(F.sum(n).alias(n) for n in sums))
-
-
 def _factor(moments: DataFrame) -> DataFrame:
     """Location and Cholesky factor of each pool from moments about ``c0``.. (the old location)."""
     out = moments
@@ -157,14 +153,31 @@ def _distance(df: DataFrame) -> DataFrame:
     return df.withColumn("d2", d2).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * _BIN))
 
 
-def _bins(measured: DataFrame, share: float, name: str) -> DataFrame:
-    """(pool, name): the bin up to which ``share`` of the pool's rows lie; counted, not estimated."""
-    counts = _summed(measured, ["pool", "bin"], {"n": F.lit(1)})
+def _limited(counts: DataFrame, share: float, name: str) -> DataFrame:
+    """Add to (pool, bin, n, ..) the bin up to which ``share`` of the pool's rows lie; counted, not estimated."""
     by = Window.partitionBy("pool")
     upto = counts.withColumn("upto", F.sum("n").over(by.orderBy("bin"))).withColumn(
         "all", F.sum("n").over(by)
     )
-    return upto.where(F.col("upto") >= share * F.col("all")).groupBy("pool").agg(F.min("bin").alias(name))
+    reached = F.when(F.col("upto") >= share * F.col("all"), F.col("bin"))
+    return upto.withColumn(name, F.min(reached).over(by)).drop("upto", "all")
+
+
+def _moments(measured: DataFrame, core: float) -> DataFrame:
+    """Sums of each pool's nearest rows about its location, ``c0``..; one pass.
+
+    Rows are summed by bin, and the bins within ``core`` of the rows then make the sums.
+    """
+    sums = {"n": F.lit(1)}
+    sums |= {f"s{i}": F.col(x) - F.col(f"m_{x}") for i, x in enumerate(_P)}
+    sums |= {f"q{i}_{j}": sums[f"s{i}"] * sums[f"s{j}"] for i, j in _PAIRS}
+    # a pool's rows all have its location
+    centres = [F.min(f"m_{x}").alias(f"c{i}") for i, x in enumerate(_P)]
+    binned = measured.groupBy("pool", "bin").agg(*centres, *(F.sum(c).alias(n) for n, c in sums.items()))
+    near = _limited(binned, core, "limit").where("bin <= limit")
+    return near.groupBy("pool").agg(
+        *(F.min(f"c{i}").alias(f"c{i}") for i in range(len(_P))), *(F.sum(n).alias(n) for n in sums)
+    )
 
 
 def _pools(stats: DataFrame) -> DataFrame:
@@ -177,9 +190,8 @@ def _pools(stats: DataFrame) -> DataFrame:
     vectors = stats.where(~F.col("base_failed")).select(
         "doc_id", "text_key", "lang", "source", salt.alias("salt"), *(F.expr(c).alias(n) for n, (c, _) in VECTOR.items())
     )
-    sizes = written(_summed(vectors, ["lang", "source"], {"n": F.lit(1)}), "pools")
+    sizes = written(vectors.groupBy("lang", "source").agg(F.count("*").alias("n")), "pools")
     by_lang = sizes.groupBy(F.col("lang").alias("l")).agg(F.sum("n").alias("of_lang"), F.min("n").alias("least"))
-    by_lang = written(by_lang, "pools")
     use_all = by_lang.where(F.col("of_lang") < MIN_POOL).count() > 0  # a number from a row per language
     own, of_lang = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
     large, spoken = F.col("n") >= MIN_POOL, F.col("of_lang") >= MIN_POOL
@@ -220,14 +232,10 @@ def minimum_covariance(vectors: DataFrame, steps: int = STEPS, core: float = COR
         vectors.groupBy("pool").agg(*(F.percentile_approx(x, 0.5, 1000).alias(f"m_{x}") for x in _P)),
         "location",
     )
-    off = _with(vectors, centres)
-    spread = written(
-        off.groupBy("pool").agg(
-            *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, 1000).alias(f"a_{x}") for x in _P)
-        ),
-        "spread",
-    ).withColumnRenamed("pool", "p")
-    start = centres.join(spread, F.col("pool") == F.col("p"))
+    start = _with(vectors, centres).groupBy("pool").agg(
+        *(F.min(f"m_{x}").alias(f"m_{x}") for x in _P),
+        *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, 1000).alias(f"a_{x}") for x in _P),
+    )
     params = written(
         start.select(
             "pool",
@@ -240,17 +248,9 @@ def minimum_covariance(vectors: DataFrame, steps: int = STEPS, core: float = COR
         "estimate",
     )
     for _ in range(steps):
-        measured = _distance(_with(vectors, params))
-        limits = written(_bins(measured, core, "upto"), "limits").withColumnRenamed("pool", "p")
-        params = params.join(limits, F.col("pool") == F.col("p")).drop("p")
-        near = _distance(_with(vectors, params)).where("bin <= upto")
-        sums = {"n": F.lit(1)}
-        sums |= {f"s{i}": F.col(x) - F.col(f"m_{x}") for i, x in enumerate(_P)}
-        sums |= {f"q{i}_{j}": sums[f"s{i}"] * sums[f"s{j}"] for i, j in _PAIRS}
-        moments = _summed(near, ["pool"], sums).withColumnRenamed("pool", "p")
-        old = params.select("pool", *(F.col(f"m_{x}").alias(f"c{i}") for i, x in enumerate(_P)))
-        params = written(_factor(old.join(moments, F.col("pool") == F.col("p"))), "estimate")
-    middle = _bins(_distance(_with(vectors, params)), 0.5, "middle").withColumnRenamed("pool", "p")
+        params = written(_factor(_moments(_distance(_with(vectors, params)), core)), "estimate")
+    counts = _distance(_with(vectors, params)).groupBy("pool", "bin").agg(F.count("*").alias("n"))
+    middle = _limited(counts, 0.5, "middle").groupBy(F.col("pool").alias("p")).agg(F.min("middle").alias("middle"))
     # squared distances are put in proportion to the chi-square median
     scale = F.greatest(F.exp((F.col("middle") + 0.5) / _BIN) / CHI_MEDIAN, F.lit(1.0))
     return written(
