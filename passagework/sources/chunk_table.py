@@ -65,6 +65,11 @@ def _apart(rows: DataFrame, repeated: DataFrame, records: int, alone, together)
     return alone(rows.join(repeated, same, "left_anti")).unionByName(together(rows.join(repeated, same, "left_semi")))
 
 
+def _counted(counted: Observation) -> int:
+    """``n`` of an observed write; a batch that is known to be empty is planned without its counter."""
+    return counted.get["n"] if counted._jo.getRow().length() else 0
+
+
 class ChunkTable:
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
@@ -167,10 +172,10 @@ class ChunkTable:
             self._add_columns(checked.drop(seq))
             # a failed write leaves no file: its tasks' files are moved into the table when all are done
             self._append(fold_single(checked, seq), self._next_version())
-            return counted.get.get("n", 0)
+            return _counted(counted)
         # computed once: the plan below reads the batch more than once; counted as it is written
         with staged(checked) as batch:
-            received = counted.get.get("n", 0)
+            received = _counted(counted)
             if received:
                 self._add_columns(batch.drop(seq))
                 keys = batch.groupBy(F.col("chunk_id").alias("_again")).agg(F.count(F.lit(1)).alias("n"), F.count(seq).alias("told"))
